@@ -1,4 +1,52 @@
 """The registered queries of the response-matrix operators, and their SQL."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def response_long(spark: SparkSession, d: str) -> DataFrame:
+    """One response per member and event; the last record wins, -1 over 0 over 1 inside a record."""
+    line, orders = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("lineitem", "orders"))
+    flag = F.col("l_returnflag")
+    rows = line.join(orders, line.l_orderkey == orders.o_orderkey).select(
+        F.col("o_custkey").alias("member"),
+        F.date_format("l_shipdate", "yyyy-MM").alias("event"),
+        F.col("l_orderkey").alias("idx"),
+        F.when(flag == "A", 1).when(flag == "R", 2).otherwise(0).alias("prec"),
+        F.when(flag == "A", 1).when(flag == "R", -1).otherwise(0).alias("value"),
+    )
+    rows = rows.withColumn("prec", F.when(F.col("value") == 0, 0).otherwise(F.col("prec")))
+    return rows.groupBy("member", "event").agg(F.max_by("value", F.struct("idx", "prec")).alias("value"))
+
+
+def temporal_slice(spark: SparkSession, d: str) -> DataFrame:
+    """Members with more than a tenth of the events inside an open time range."""
+    part = response_long(spark, d).where("event > '1996-06' and event < '1998-07'")
+    events = part.agg(F.countDistinct("event").alias("n"))
+    counts = part.groupBy("member").agg(F.count("value").alias("votes_count"))
+    kept = counts.crossJoin(F.broadcast(events)).where("votes_count > n * 0.1")  # one row of totals
+    customer = spark.read.parquet(f"{d}/customer.parquet")
+    return kept.join(customer, kept.member == customer.c_custkey).select("member", F.col("c_mktsegment").alias("group"), "votes_count")
+
+
+def first_seen_groups(spark: SparkSession, d: str) -> DataFrame:
+    customer = spark.read.parquet(f"{d}/customer.parquet")
+    return customer.groupBy(F.col("c_mktsegment").alias("group")).agg(F.min("c_custkey").alias("first_pos"))
+
+
+LONG = """SELECT o_custkey AS member, strftime(l_shipdate, '%Y-%m') AS event,
+CAST(arg_max(CASE l_returnflag WHEN 'A' THEN 1 WHEN 'R' THEN -1 ELSE 0 END,
+  {'i': l_orderkey, 'p': CASE l_returnflag WHEN 'A' THEN 1 WHEN 'R' THEN 2 ELSE 0 END}) AS INTEGER) AS value
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL"""
+
+QUERIES = {"response_long": response_long, "temporal_slice": temporal_slice, "first_seen_groups": first_seen_groups}
+ORACLE_SQL = {
+    "response_long": LONG,
+    "temporal_slice": f"""WITH p AS (SELECT * FROM ({LONG}) WHERE event > '1996-06' AND event < '1998-07'),
+c AS (SELECT member, count(value) AS votes_count FROM p GROUP BY member)
+SELECT member, c_mktsegment AS "group", votes_count FROM c JOIN customer ON member = c_custkey
+WHERE votes_count > (SELECT count(DISTINCT event) FROM p) * 0.1""",
+    "first_seen_groups": 'SELECT c_mktsegment AS "group", min(c_custkey) AS first_pos FROM customer GROUP BY 1',
+}
