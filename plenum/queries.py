@@ -50,3 +50,33 @@ SELECT member, c_mktsegment AS "group", votes_count FROM c JOIN customer ON memb
 WHERE votes_count > (SELECT count(DISTINCT event) FROM p) * 0.1""",
     "first_seen_groups": 'SELECT c_mktsegment AS "group", min(c_custkey) AS first_pos FROM customer GROUP BY 1',
 }
+
+
+def latest_affiliation(spark: SparkSession, d: str) -> DataFrame:
+    orders = spark.read.parquet(f"{d}/orders.parquet")
+    latest = F.max_by("o_orderpriority", F.struct("o_orderdate", "o_orderkey"))
+    return orders.groupBy(F.col("o_custkey").alias("member")).agg(latest.alias("current_group"))
+
+
+def country_highlight(spark: SparkSession, d: str) -> DataFrame:
+    customer, nation = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("customer", "nation"))
+    return customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
+        F.col("c_custkey").alias("member"), F.col("n_name").alias("country"), F.when(F.col("n_nationkey") == 0, "selected").otherwise("other").alias("style")
+    )
+
+
+def sample_window(spark: SparkSession, d: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/customer.parquet").select("c_custkey", "c_name").orderBy("c_custkey").offset(55).limit(5)
+
+
+def props_extract(spark: SparkSession, d: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/events.parquet").select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"))
+
+
+QUERIES |= {"latest_affiliation": latest_affiliation, "country_highlight": country_highlight, "sample_window": sample_window, "props_extract": props_extract}
+ORACLE_SQL |= {
+    "latest_affiliation": "SELECT o_custkey AS member, arg_max(o_orderpriority, {'d': o_orderdate, 'k': o_orderkey}) AS current_group FROM orders GROUP BY 1",
+    "country_highlight": "SELECT c_custkey AS member, n_name AS country, CASE WHEN n_nationkey = 0 THEN 'selected' ELSE 'other' END AS style FROM customer JOIN nation ON c_nationkey = n_nationkey",
+    "sample_window": "SELECT c_custkey, c_name FROM customer ORDER BY c_custkey LIMIT 5 OFFSET 55",
+    "props_extract": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events",
+}
