@@ -80,3 +80,21 @@ ORACLE_SQL |= {
     "sample_window": "SELECT c_custkey, c_name FROM customer ORDER BY c_custkey LIMIT 5 OFFSET 55",
     "props_extract": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events",
 }
+
+
+def epoch_seconds(spark: SparkSession, d: str) -> DataFrame:
+    events = spark.read.parquet(f"{d}/events.parquet")
+    return events.select("event_id", F.unix_seconds(F.col("ts").cast("timestamp")).alias("seconds"))
+
+
+def response_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Responses per event, each value counted: the profile of the matrix by column."""
+    value = F.col("value")
+    return response_long(spark, d).groupBy("event").agg(F.count_if(value == 1).alias("n_for"), F.count_if(value == -1).alias("n_against"), F.count_if(value == 0).alias("n_abstain"))
+
+
+QUERIES |= {"epoch_seconds": epoch_seconds, "response_counts": response_counts}
+ORACLE_SQL |= {
+    "epoch_seconds": "SELECT event_id, epoch_us(ts) // 1000000 AS seconds FROM events",
+    "response_counts": f"SELECT event, count(*) FILTER (value = 1) AS n_for, count(*) FILTER (value = -1) AS n_against, count(*) FILTER (value = 0) AS n_abstain FROM ({LONG}) GROUP BY 1",
+}
