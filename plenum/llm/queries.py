@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plenum.llm import secrets, sharding, simhash
+from plenum.llm import packing, secrets, sharding, simhash
 from plenum.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -24,6 +28,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secrets": op2_secrets,
+    "op4_packing": op4_packing,
     "op8_simhash": op8_simhash,
     "op9_sharding": op9_sharding,
 }
