@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plenum.llm import decontaminate, packing, secrets, sharding, simhash, toxicity
+from plenum.llm import decontaminate, packing, pii, secrets, sharding, simhash, toxicity
 from plenum.llm.common import table
 
 
@@ -34,6 +34,10 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scan_pii(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secrets": op2_secrets,
     "op4_packing": op4_packing,
@@ -41,6 +45,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_decontaminate": op7_decontaminate,
     "op8_simhash": op8_simhash,
     "op9_sharding": op9_sharding,
+    "op10_pii": op10_pii,
 }
 
 ORACLE_SQL: dict[str, str] = {"op7_decontaminate": decontaminate.ORACLE_SQL}

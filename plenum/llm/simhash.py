@@ -199,3 +199,16 @@ def near_duplicates(docs: DataFrame, limit: int = LIMIT, id_col: str = "doc_id",
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     of = named.join(least, "root").select("fp", "component_id")
     return rows.join(of, "fp").select(F.col("doc_id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, limit: int = LIMIT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component: that of the least id, nulls last; all columns pass through.
+
+    Rows are told apart by their place, so repeated rows and repeated ids are one row each.
+    """
+    row = "_row"
+    rows = staged(docs.withColumn(row, F.monotonically_increasing_id()), "simhash-docs")
+    found = near_duplicates(rows.select(F.col(row).alias("doc_id"), F.col(text_col).alias("text")), limit).select(F.col("doc_id").alias(row), "component_id")
+    ranked = rows.select(row, F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("i"), F.col(row).alias("r")).alias("rank"))
+    kept = ranked.join(found, row).groupBy("component_id").agg(F.min_by(row, "rank").alias(row))
+    return rows.join(kept.select(row), row, "left_semi").select(*docs.columns)
