@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plenum.llm import decontaminate, packing, pii, quality, secrets, sharding, simhash, toxicity, warc
+from plenum.llm import decontaminate, packing, pii, quality, secrets, sharding, simhash, suffixes, toxicity, warc
 from plenum.llm.common import table
 
 
+def op1_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.removal(table(spark, sf_dir, "documents"))
+
+
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffixes": op1_suffixes,
     "op2_secrets": op2_secrets,
     "op3_warc": op3_warc,
     "op4_packing": op4_packing,
