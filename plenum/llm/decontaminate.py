@@ -92,8 +92,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
     own_prints = _fingerprints(items.where(F.col("n_words") >= window), [], window, gram).select("fp")
     prints = own_prints.unionByName(of_item.where(F.col("length") < window).select(F.col("k1").alias("fp"))).distinct()
     suspects = _probe(_fingerprints(rows, short, window, gram), prints, ["fp"], n_windows, "left_semi").select("rid").distinct()
+    suspects = staged(suspects, "decon-suspects")
+    few = suspects.count() <= BROADCAST_ROWS  # then the words of the others need not be moved
 
-    near = rows.join(suspects, "rid", "left_semi").select("rid", "w", "n_words")
+    near = rows.join(F.broadcast(suspects) if few else suspects, "rid", "left_semi").select("rid", "w", "n_words")
     lengths = [window, *short]
     spans = near.select("rid", F.explode(F.flatten(F.array(*(_keys(F.col("w"), F.col("n_words"), m) for m in lengths)))).alias("k")).select("rid", "k.*")
     hits = staged(_probe(spans, windows, ["length", "k1", "k2"], n_windows), "decon-hits")
