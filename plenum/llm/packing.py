@@ -11,6 +11,7 @@ piece's number within its length then names its run, and so its sequence and its
 from __future__ import annotations
 
 import bisect
+import os
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -125,6 +126,8 @@ class Plan:
 
 @lru_cache(maxsize=2)
 def _tokenizer(path: str):
+    # a task has one core; the library's own threads cost more than the short blocks they encode
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     return Tokenizer.from_file(path), {}
@@ -140,7 +143,7 @@ def token_ids(text: str, path: str) -> np.ndarray:
         new = list(dict.fromkeys(words))
     for at in range(0, len(new), 4096):
         part = new[at : at + 4096]
-        for w, e in zip(part, model.encode_batch(part, add_special_tokens=False)):
+        for w, e in zip(part, model.encode_batch_fast(part, add_special_tokens=False)):
             known[w] = np.array(e.ids, dtype="<u4").tobytes()
     return np.frombuffer(b"".join([known[w] for w in words]), dtype="<u4")
 
