@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plenum.llm.common import text_of
+from plenum.llm.common import staged, text_of
 
 BITS = 20
 ORDERS = (4, 5, 6)
@@ -53,22 +53,24 @@ def grams(text: str, keep: np.ndarray | None = None) -> np.ndarray:
     return np.unique(np.concatenate(found)).astype(np.int64) if found else np.empty(0, np.int64)
 
 
-def fit(texts: list[np.ndarray], y: np.ndarray, alpha: float = 0.5, least: int = 5, ratio: float = 2.5, l2: float = 2.0, steps: int = 200) -> Model:
-    """Log-count ratios, then logistic regression on the features that carry a ratio."""
-    empty = np.zeros(1 << BITS, np.float32)
-    if not len(y) or y.min() == y.max():  # nothing to tell apart
-        return Model(empty, -4.0 if not len(y) or not y.max() else 4.0)
-    size = np.array([len(t) for t in texts])
-    rows, ids = np.repeat(np.arange(len(y)), size), np.concatenate(texts)
-    of = y[rows]
-    pos = np.bincount(ids[of == 1], minlength=1 << BITS)
-    neg = np.bincount(ids[of == 0], minlength=1 << BITS)
-    r = np.log((pos + alpha) / (y.sum() + 2 * alpha)) - np.log((neg + alpha) / ((1 - y).sum() + 2 * alpha))
+def log_ratios(pos: np.ndarray, neg: np.ndarray, n_pos: int, n_neg: int, alpha: float = 0.5, least: int = 5, ratio: float = 2.5) -> np.ndarray:
+    """Log-count ratio of each feature from the texts of each class that hold it; 0 where it carries none."""
+    r = np.log((pos + alpha) / (n_pos + 2 * alpha)) - np.log((neg + alpha) / (n_neg + 2 * alpha))
     r[(pos + neg < least) | (np.abs(r) < ratio)] = 0
-    used = r[ids] != 0
-    rows, ids = rows[used], ids[used]
+    return np.clip(r, -4, 4)
+
+
+def constant(y: np.ndarray) -> Model:
+    """The model of labels that hold nothing to tell apart."""
+    return Model(np.zeros(1 << BITS, np.float32), -4.0 if not len(y) or not y.max() else 4.0)
+
+
+def fit(texts: list[np.ndarray], y: np.ndarray, r: np.ndarray, l2: float = 2.0, steps: int = 200) -> Model:
+    """Logistic regression on features scaled by their ratios ``r``; ``texts`` hold only features that have one."""
+    rows = np.repeat(np.arange(len(y)), [len(t) for t in texts])
+    ids = np.concatenate(texts)
     names, at = np.unique(ids, return_inverse=True)
-    value = np.clip(r[names], -4, 4)
+    value = r[names]
     x = value[at]
     w, bias = np.zeros(len(names)), float(np.log(y.mean() / (1 - y.mean())))
     # Adam on the penalised likelihood; all rows at each step, so the result has no random part
@@ -83,7 +85,7 @@ def fit(texts: list[np.ndarray], y: np.ndarray, alpha: float = 0.5, least: int =
         a, b = 1 - 0.9**step, 1 - 0.999**step
         w -= 0.02 * (m / a) / (np.sqrt(v / b) + 1e-8)
         bias -= 0.02 * (mb / a) / (np.sqrt(vb / b) + 1e-8)
-    out = empty
+    out = np.zeros(1 << BITS, np.float32)
     out[names] = (w * value).astype(np.float32)
     return Model(out, bias)
 
@@ -103,16 +105,53 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.binary())], ["y", "f"])
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Fit on at most ``sample`` labelled rows that are not held out."""
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts of each class that hold a feature, one row per feature and task."""
+    of = np.zeros((2, 1 << BITS), np.int64)
+    for batch in batches:
+        for y, f in zip(batch.column(0).to_pylist(), batch.column(1)):
+            of[y, np.frombuffer(f.as_py(), "<i4")] += 1  # a text's features are distinct
+    ids = np.flatnonzero(of.any(axis=0))
+    for at in range(0, len(ids), 100_000):
+        i = ids[at : at + 100_000]
+        yield pa.RecordBatch.from_arrays([pa.array(i.astype(np.int32)), pa.array(of[1, i]), pa.array(of[0, i])], ["id", "pos", "neg"])
+
+
+def _only(names: np.ndarray):
+    """Each text's features cut to those in ``names``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep = np.zeros(1 << BITS, bool)
+        keep[names] = True
+        for batch in batches:
+            values = [ids[keep[ids]].tobytes() for ids in (np.frombuffer(f.as_py(), "<i4") for f in batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.binary())], ["y", "f"])
+
+    return run
+
+
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", least: int = 5) -> Model:
+    """Fit on at most ``sample`` labelled rows that are not held out.
+
+    Features are counted by the executors; the driver sees the counts of features that occur
+    ``least`` times (2**BITS rows at most) and the training rows' features that carry a ratio.
+    """
     marked = labels.where(labels.toxic.isNotNull() & labels[id_col].isNotNull() & ~held_out(labels[id_col]))
     marked = marked.groupBy(F.col(id_col).alias("i")).agg((F.max("toxic") > 0).cast("int").alias("y"))
     chosen = marked.orderBy(F.xxhash64("i"), "i").limit(sample)
     rows = docs.select(docs[id_col].alias("i"), text_of(docs, text_col).alias("t")).where(F.col("i").isNotNull())
     texts = rows.join(F.broadcast(chosen), "i").groupBy("i").agg(F.max("y").alias("y"), F.min("t").alias("t"))  # ``sample`` rows
-    table = texts.select("y", "t").mapInArrow(_features, "y int, f binary").toPandas()
+    found = staged(texts.select("y", "t").mapInArrow(_features, "y int, f binary"), "toxicity-features")
+    size = {row.y: row["count"] for row in found.groupBy("y").count().collect()}  # two rows
+    if len(size) < 2:
+        return constant(np.array(list(size)))
+    counts = found.mapInArrow(_counted, "id int, pos long, neg long").groupBy("id").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    seen = counts.where(F.col("pos") + F.col("neg") >= least).toPandas()
+    r = np.zeros(1 << BITS)
+    r[seen.id] = log_ratios(seen.pos.to_numpy(), seen.neg.to_numpy(), size[1], size[0], least=least)
+    table = found.mapInArrow(_only(np.flatnonzero(r)), "y int, f binary").toPandas()
     order = np.argsort([bytes(f[:64]) + str(len(f)).encode() for f in table.f], kind="stable")
-    return fit([np.frombuffer(table.f[k], "<i4").astype(np.int64) for k in order], table.y.to_numpy(np.int64)[order])
+    return fit([np.frombuffer(table.f[k], "<i4").astype(np.int64) for k in order], table.y.to_numpy(np.int64)[order], r)
 
 
 def score_documents(docs: DataFrame, model: Model, out: str = "toxic_score", text_col: str = "text") -> DataFrame:
