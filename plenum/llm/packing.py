@@ -13,6 +13,7 @@ from __future__ import annotations
 import bisect
 import os
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
@@ -26,8 +27,11 @@ from plenum.llm.common import numbered, staged, text_of
 
 CAPACITY = 4096
 END_ID = 1
-#: Words whose ids a worker keeps.
-CACHE = 400_000
+#: Blocks whose ids a worker keeps from one run of texts to the next, and characters in a run.
+CACHE = 600_000
+RUN = 1 << 21
+#: Marks that, after a letter or digit of an ASCII block, the vocabulary never joins to it.
+MARKS = ".,;:!?*&#$%"
 
 
 def default_tokenizer() -> str:
@@ -133,27 +137,52 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path), {}
 
 
-def token_ids(text: str, path: str) -> np.ndarray:
-    """Ids of a text. The vocabulary's pieces end at white space, so blocks between ASCII spaces are cached."""
+def _learn(new: list[str], model, known: dict[str, bytes]) -> None:
+    """Encode blocks not known yet.
+
+    An ASCII block's marks after its last letter or digit are pieces of their own, and case is
+    dropped, so such blocks are put together from their parts.
+    """
+    parts = {}
+    for w in new:
+        core = w.rstrip(MARKS)
+        parts[w] = (core.lower(), w[len(core) :]) if core and w.isascii() and core[-1].isalnum() else (w, "")
+    missing = [p for p in dict.fromkeys(p for pair in parts.values() for p in pair) if p not in known]
+    for at in range(0, len(missing), 4096):
+        cut = missing[at : at + 4096]
+        for p, e in zip(cut, model.encode_batch_fast(cut, add_special_tokens=False)):
+            known[p] = array("I", e.ids).tobytes()
+    for w, (core, tail) in parts.items():
+        known[w] = known[core] + known[tail]
+
+
+def token_ids(texts: list[str], path: str) -> Iterator[np.ndarray]:
+    """Ids of each text. The vocabulary's pieces end at white space, so blocks between ASCII spaces are cached.
+
+    Blocks are looked up for a run of texts at a time; more than ``CACHE`` of them are forgotten
+    before the next run.
+    """
     model, known = _tokenizer(path)
-    words = text.replace("\n", " ").split(" ")
-    new = [w for w in dict.fromkeys(words) if w not in known]
-    if len(known) + len(new) > CACHE:
-        known.clear()
-        new = list(dict.fromkeys(words))
-    for at in range(0, len(new), 4096):
-        part = new[at : at + 4096]
-        for w, e in zip(part, model.encode_batch_fast(part, add_special_tokens=False)):
-            known[w] = np.array(e.ids, dtype="<u4").tobytes()
-    return np.frombuffer(b"".join([known[w] for w in words]), dtype="<u4")
+    at = 0
+    while at < len(texts):
+        run, size = [], 0
+        while at < len(texts) and size < RUN:
+            run.append(texts[at].replace("\n", " ").split(" "))
+            size += len(texts[at])
+            at += 1
+        if len(known) > CACHE:
+            known.clear()
+        _learn(list({w for words in run for w in words}.difference(known)), model, known)
+        for words in run:
+            yield np.frombuffer(b"".join([known[w] for w in words]), dtype="<u4")
 
 
 def _pieces(path: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = np.append(token_ids(text.as_py(), path), np.uint32(END_ID)).astype("<u4")
+            for doc, found in zip(batch.column(0).to_pylist(), token_ids(batch.column(1).to_pylist(), path)):
+                ids = np.append(found, np.uint32(END_ID)).astype("<u4")
                 for k, start in enumerate(range(0, len(ids), capacity)):
                     part = ids[start : start + capacity]
                     out.append((doc, k, start, len(part), zlib.crc32(part.tobytes())))
