@@ -34,6 +34,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
+    """Write ``df`` once in the shared folder, dealt by ``key``; joins on ``key`` then move only the other side."""
+    spark = df.sparkSession
+    n, table = shuffle_partitions(spark), f"plenum_{name}_{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/plenum/{table}"
+    df.repartition(n, key).write.bucketBy(n, key).option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
 def text_of(df: DataFrame, column: str = "text") -> Column:
     """The text column, null as the empty string."""
     return F.coalesce(df[column].cast("string"), F.lit(""))

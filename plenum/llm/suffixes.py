@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plenum.llm.common import shuffle_partitions, staged, text_of
+from plenum.llm.common import bucketed, shuffle_partitions, staged, text_of
 
 LENGTH = 400
 ORDER = 13
@@ -181,20 +181,21 @@ def removal(docs: DataFrame, length: int = LENGTH, order: int = ORDER, id_col: s
         raise ValueError("length must exceed the modulus of the cover")
     short, long = length - v + 1, length + v - 1
     rows = docs.select(docs[id_col].alias("doc_id"), text_of(docs, text_col).cast("binary").alias("t"))
-    rows = staged(rows.withColumn("rid", F.monotonically_increasing_id()).select("rid", "t", "doc_id"), "suffix-rows")
+    rows = rows.withColumn("rid", F.monotonically_increasing_id()).select("rid", "t", F.col("doc_id").cast("long").alias("doc_id"))
+    rows = bucketed(rows, "rid", "suffix_rows")
 
     def all_samples(batch, k, n):
         return sampled(n, short, cover, v)
 
-    near = repeated(rows.select("rid", "t"), all_samples, short, "near")
-    open_rows = staged(rows.select("rid", "t").join(near, "rid"), "suffix-near")
+    texts = rows.select("rid", "t")
+    near = staged(repeated(texts, all_samples, short, "near"), "suffix-near")
 
     def long_samples(batch, k, n):
         at = _list(batch, "near", k)
         return at[at <= n - long]
 
-    sure = repeated(open_rows, long_samples, long, "sure")
-    open_rows = staged(open_rows.join(sure, "rid", "left"), "suffix-sure")
+    sure = repeated(texts.join(near, "rid"), long_samples, long, "sure")
+    lists = staged(near.join(sure, "rid", "left"), "suffix-sure")
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Samples with their short names; ``open`` where a start before one is not settled."""
@@ -210,17 +211,17 @@ def removal(docs: DataFrame, length: int = LENGTH, order: int = ORDER, id_col: s
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), rid, np.int64)), pa.array(at.astype(np.int32)), pa.array(name), pa.array(undone)], ["rid", "pos", "name", "open"])
 
     # a start that is open may equal one that is settled: both are named where their samples agree
-    samples = staged(open_rows.select("rid", "t", "near", "sure").mapInArrow(marked, "rid long, pos int, name long, open boolean"), "suffix-samples")
+    samples = staged(texts.join(lists, "rid").select("rid", "t", "near", "sure").mapInArrow(marked, "rid long, pos int, name long, open boolean"), "suffix-samples")
     wanted = samples.where("open").select("name").distinct().withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salted = samples.withColumn("salt", F.pmod(F.xxhash64("rid", "pos"), F.lit(SALTS)).cast("int"))
     asked = salted.join(wanted, ["name", "salt"], "left_semi").groupBy("rid").agg(F.array_sort(F.collect_list("pos")).alias("asked"))
-    open_rows = staged(open_rows.join(asked, "rid", "left"), "suffix-asked")
+    asked = staged(asked, "suffix-asked")
 
     def open_starts(batch, k, n):
         return np.flatnonzero(_reach(n - length + 1, _list(batch, "asked", k), v - 1, 1)) if n >= length else np.empty(0, np.int64)
 
-    exact = repeated(open_rows, open_starts, length, "exact")
-    marks = open_rows.select("rid", "sure").join(exact, "rid", "left")
+    exact = repeated(texts.join(asked, "rid"), open_starts, length, "exact")
+    marks = lists.select("rid", "sure").join(exact, "rid", "left")
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -235,6 +236,6 @@ def removal(docs: DataFrame, length: int = LENGTH, order: int = ORDER, id_col: s
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([batch.column(2), *(pa.array(c, t) for c, t in zip(columns, kinds))], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
 
-    whole = rows.join(marks, "rid", "left").select("rid", "t", F.col("doc_id").cast("long").alias("doc_id"), "sure", "exact")
+    whole = rows.join(marks, "rid", "left").select("rid", "t", "doc_id", "sure", "exact")
     result = whole.mapInArrow(finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<long>")
     return result.withColumnRenamed("doc_id", id_col)
