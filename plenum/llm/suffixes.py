@@ -3,8 +3,8 @@
 Of every ``v`` consecutive positions only those in a difference cover are sampled. For any two
 equal strings of ``length`` bytes there is a shift below ``v`` at which both are sampled, so
 the samples' strings of ``length - v + 1`` bytes find every repeat. The work goes bucket by
-bucket: rows are dealt by the name (a 64-bit hash) of their string and sorted by it, and a task
-holds one run of equal names at a time. Names stand for ranks: only equality is asked of them.
+bucket: starts are dealt by the name (a 64-bit hash) of their string, and a task holds and sorts
+one bucket of names at a time. Names stand for ranks: only equality is asked of them.
 
 1. Sampled strings of ``length - v + 1`` bytes: those that repeat mark where repeats may be.
 2. At those samples, strings of ``length + v - 1`` bytes: a repeat settles ``v`` starts at once.
@@ -28,6 +28,10 @@ LENGTH = 400
 ORDER = 13
 BLOCK = 1 << 20
 SALTS = 8
+#: Buckets of names in a partition, and starts that a task names at a time.
+FINE = 4
+CHUNK = 1 << 21
+LEAD, TWICE = 1, 2
 
 
 def difference_cover(q: int) -> np.ndarray:
@@ -94,68 +98,97 @@ def sampled(n: int, length: int, cover: np.ndarray, v: int) -> np.ndarray:
     return every[every <= n - length]
 
 
-def _rows(chosen: Callable, length: int):
-    """Rows (rid, pos, name, lead, twice) of the chosen starts of each text.
+def _dealt(rid: np.ndarray, pos: np.ndarray, name: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Named starts as one row per bucket, columns packed.
 
-    Names that repeat inside a batch are settled there: all their rows have ``twice``, and only
-    the first stands for the name (``lead``), so a hot name is one row a batch.
+    Names that repeat among these starts are settled here: all have ``TWICE``, and only the first
+    stands for the name (``LEAD``), so a hot name is one entry; the others pass through anywhere.
     """
+    _, first, back, count = np.unique(name, return_index=True, return_inverse=True, return_counts=True)
+    flag = np.where((count > 1)[back], TWICE, 0).astype(np.uint8)
+    flag[first] |= LEAD
+    name = np.where(flag & LEAD, name, (rid * 31 + pos).astype(np.uint64))
+    bucket = (name % np.uint64(buckets)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    cuts = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
+    packed = [[x[order[i:j]].tobytes() for i, j in zip(cuts[:-1], cuts[1:])] for x in (rid, pos, name, flag)]
+    return pa.RecordBatch.from_arrays([pa.array(bucket[cuts[:-1]]), *(pa.array(x, pa.binary()) for x in packed)], ["bucket", "rid", "pos", "name", "flag"])
+
+
+def _rows(chosen: Callable, length: int, buckets: int):
+    """The chosen starts of each text with their names, dealt to buckets in chunks of ``CHUNK`` starts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rid, pos, name, held = [], [], [], 0
         for batch in batches:
-            rid, pos, name = [], [], []
             for k in range(batch.num_rows):
                 data = batch.column(1)[k].as_py()
                 at = chosen(batch, k, len(data))
                 if len(at):
                     rid.append(np.full(len(at), batch.column(0)[k].as_py(), np.int64))
-                    pos.append(at)
+                    pos.append(at.astype(np.int32))
                     name.append(names(data, at, length))
-            if not rid:
-                continue
-            rid, pos, name = np.concatenate(rid), np.concatenate(pos), np.concatenate(name)
-            _, first, back, count = np.unique(name, return_index=True, return_inverse=True, return_counts=True)
-            lead = np.zeros(len(name), bool)
-            lead[first] = True
-            twice = (count > 1)[back]
-            name = np.where(lead, name, (rid * 31 + pos).astype(np.uint64))  # the rest only pass through
-            for at in range(0, len(name), 100_000):
-                cut = slice(at, at + 100_000)
-                yield pa.RecordBatch.from_arrays([pa.array(rid[cut]), pa.array(pos[cut].astype(np.int32)), pa.array(name[cut].view(np.int64)), pa.array(lead[cut]), pa.array(twice[cut])], ["rid", "pos", "name", "lead", "twice"])
+                    held += len(at)
+                if held >= CHUNK:
+                    yield _dealt(np.concatenate(rid), np.concatenate(pos), np.concatenate(name), buckets)
+                    rid, pos, name, held = [], [], [], 0
+        if held:
+            yield _dealt(np.concatenate(rid), np.concatenate(pos), np.concatenate(name), buckets)
 
     return run
 
 
+def _twice(held: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """(rid, pos) of one bucket's entries whose name repeats."""
+    rid, pos, name, flag = (np.frombuffer(b"".join(x), kind) for x, kind in zip(zip(*held), ("<i8", "<i4", "<u8", "u1")))
+    twice, lead = (flag & TWICE) > 0, (flag & LEAD) > 0
+    _, back, count = np.unique(name[lead], return_inverse=True, return_counts=True)
+    twice[lead] |= (count > 1)[back]
+    return rid[twice], pos[twice]
+
+
+def _lists(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """One row per text with its positions."""
+    rid, pos = (np.concatenate(x) for x in zip(*found))
+    order = np.argsort(rid, kind="stable")
+    rid, pos = rid[order], pos[order]
+    cuts = np.flatnonzero(np.diff(rid, prepend=-1))
+    at = pa.array(np.append(cuts, len(rid)).astype(np.int32))
+    return pa.RecordBatch.from_arrays([pa.array(rid[cuts]), pa.ListArray.from_arrays(at, pa.array(pos))], ["rid", "pos"])
+
+
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(rid, pos) of rows whose name repeats, from rows sorted by (lead, name); one row is held over."""
-    held = None
+    """Texts with the starts whose name repeats, from rows sorted by bucket; one bucket is held at a time."""
+    bucket, held, found, n = None, [], [], 0
     for batch in batches:
-        rid, pos, name, lead, twice = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(5))
-        if held is not None:
-            rid, pos, name, lead, twice = (np.concatenate([[h], x]).astype(x.dtype) for h, x in zip(held, (rid, pos, name, lead, twice)))
-        if not len(rid):
-            continue
-        twice = twice.copy()
-        equal = (name[1:] == name[:-1]) & lead[1:] & lead[:-1]
-        twice[1:] |= equal
-        twice[:-1] |= equal
-        held = (rid[-1], pos[-1], name[-1], lead[-1], twice[-1])
-        yield pa.RecordBatch.from_arrays([pa.array(rid[:-1][twice[:-1]]), pa.array(pos[:-1][twice[:-1]])], ["rid", "pos"])
-    if held is not None and held[4]:
-        yield pa.RecordBatch.from_arrays([pa.array([held[0]], pa.int64()), pa.array([held[1]], pa.int32())], ["rid", "pos"])
+        for k, b in enumerate(batch.column(0).to_pylist()):
+            if b != bucket and held:
+                found.append(_twice(held))
+                held, n = [], n + len(found[-1][0])
+                if n >= CHUNK:
+                    yield _lists(found)
+                    found, n = [], 0
+            bucket = b
+            held.append([batch.column(c)[k].as_py() for c in range(1, 5)])
+    if held:
+        found.append(_twice(held))
+    if found:
+        yield _lists(found)
 
 
 def repeated(rows: DataFrame, chosen: Callable, length: int, out: str) -> DataFrame:
-    """``rid, out``: for each text the chosen starts whose string of ``length`` bytes repeats."""
-    named = rows.mapInArrow(_rows(chosen, length), "rid long, pos int, name long, lead boolean, twice boolean")
-    dealt = named.repartition(shuffle_partitions(rows.sparkSession), "name").sortWithinPartitions("lead", "name")
-    found = dealt.mapInArrow(_settle, "rid long, pos int")
-    return found.groupBy("rid").agg(F.array_sort(F.collect_list("pos")).alias(out))  # within one text
+    """``rid, out``: for each text the chosen starts whose string of ``length`` bytes repeats, in no order."""
+    parts = shuffle_partitions(rows.sparkSession)
+    named = rows.mapInArrow(_rows(chosen, length, parts * FINE), "bucket int, rid binary, pos binary, name binary, flag binary")
+    dealt = named.repartition(parts, "bucket").sortWithinPartitions("bucket")
+    found = dealt.mapInArrow(_settle, "rid long, pos array<int>")
+    return found.groupBy("rid").agg(F.flatten(F.collect_list("pos")).alias(out))  # within one text
 
 
 def _list(batch: pa.RecordBatch, column: str, k: int) -> np.ndarray:
     x = batch.column(batch.schema.names.index(column))[k]
-    return np.asarray(x.values.to_numpy(zero_copy_only=False), np.int64) if x.is_valid and len(x) else np.empty(0, np.int64)
+    return np.sort(np.asarray(x.values.to_numpy(zero_copy_only=False), np.int64)) if x.is_valid and len(x) else np.empty(0, np.int64)
 
 
 def _reach(n: int, starts: np.ndarray, before: int, after: int) -> np.ndarray:
