@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plenum.operators import matrix
+
 
 def response_long(spark: SparkSession, d: str) -> DataFrame:
     """One response per member and event; the last record wins, -1 over 0 over 1 inside a record."""
@@ -98,3 +100,91 @@ ORACLE_SQL |= {
     "epoch_seconds": "SELECT event_id, epoch_us(ts) // 1000000 AS seconds FROM events",
     "response_counts": f"SELECT event, count(*) FILTER (value = 1) AS n_for, count(*) FILTER (value = -1) AS n_against, count(*) FILTER (value = 0) AS n_abstain FROM ({LONG}) GROUP BY 1",
 }
+
+
+def _slice(spark: SparkSession, d: str) -> DataFrame:
+    """Responses of the members and events that the slice keeps."""
+    part = response_long(spark, d).where("event > '1996-06' and event < '1998-07'")
+    return part.join(temporal_slice(spark, d).select("member"), "member", "left_semi")
+
+
+def response_matrix(spark: SparkSession, d: str) -> DataFrame:
+    """Every member, one column per month of 1996, null where there is no response."""
+    months = [f"1996-{m:02d}" for m in range(1, 13)]
+    wide = matrix.pivot(response_long(spark, d).where("event >= '1996-01' and event <= '1996-12'"), months)
+    customer = spark.read.parquet(f"{d}/customer.parquet").select(F.col("c_custkey").alias("member"), F.col("c_mktsegment").alias("group"))
+    return customer.join(wide, "member", "left").select("member", "group", *(F.col(f"`{m}`").alias("m" + m[5:]) for m in months))
+
+
+def participation_profile(spark: SparkSession, d: str) -> DataFrame:
+    """Marker size 1 to 9 and per cent of the highest participation, per member of the slice."""
+    counts = temporal_slice(spark, d).select("member", "votes_count")
+    ends = counts.agg(F.min("votes_count").alias("lo"), F.max("votes_count").alias("hi"))  # one row
+    c, lo, hi = F.col("votes_count"), F.col("lo"), F.col("hi")
+    size = F.round(1 + F.coalesce(F.try_divide(8.0 * (c - lo), hi - lo), F.lit(0.0)), 6)
+    return counts.crossJoin(F.broadcast(ends)).select("member", "votes_count", size.alias("size"), F.round(100.0 * c / hi, 6).alias("percent"))
+
+
+def group_traces(spark: SparkSession, d: str) -> DataFrame:
+    rows = temporal_slice(spark, d)
+    return rows.groupBy("group").agg(F.count(F.lit(1)).alias("members"), F.min("votes_count").alias("least"), F.max("votes_count").alias("most"))
+
+
+def event_covariance(spark: SparkSession, d: str) -> DataFrame:
+    """Sample covariance of every two events over the slice, missing responses as 0."""
+    part = _slice(spark, d)
+    events = matrix.events_of(part)
+    _, cov = matrix.covariance(matrix.imputed(part, events), len(events))
+    rows = [(a, b, round(float(cov[i, j]), 6)) for i, a in enumerate(events) for j, b in enumerate(events)]
+    return spark.createDataFrame(rows, "event_a string, event_b string, cov double")
+
+
+def _components(spark: SparkSession, d: str):
+    part = _slice(spark, d)
+    events = matrix.events_of(part)
+    dense = matrix.imputed(part, events)
+    mean, cov = matrix.covariance(dense, len(events))
+    loadings, ratio = matrix.components(cov, 0.6)
+    return events, dense, mean, loadings, ratio
+
+
+def pca_scores(spark: SparkSession, d: str) -> DataFrame:
+    _, dense, mean, loadings, _ = _components(spark, d)
+    return matrix.scores(dense, mean, loadings)
+
+
+def pca_loadings(spark: SparkSession, d: str) -> DataFrame:
+    events, _, _, loadings, _ = _components(spark, d)
+    names = ", ".join(f"pca{k}_coeff double" for k in range(len(loadings)))
+    return spark.createDataFrame([(e, *map(float, loadings[:, i])) for i, e in enumerate(events)], f"event string, {names}")
+
+
+def event_importance(spark: SparkSession, d: str) -> DataFrame:
+    events, dense, mean, loadings, _ = _components(spark, d)
+    return matrix.importances(dense, matrix.scores(dense, mean, loadings[:1]), events)
+
+
+def link_rewrite(spark: SparkSession, d: str) -> DataFrame:
+    """Notebook links to page links, in texts built from the nations' names."""
+    cells = spark.read.parquet(f"{d}/nation.parquet").select("n_nationkey", F.concat(F.lit("see ["), "n_name", F.lit("](a.ipynb) or [b](b.html)")).alias("source"))
+    return cells.select("n_nationkey", F.regexp_replace("source", r"\[([^\]]*)\]\(([^)]*)\.ipynb\)", "[$1]($2.html)").alias("source"))
+
+
+SLICE = f"""p AS (SELECT * FROM ({LONG}) WHERE event > '1996-06' AND event < '1998-07'),
+kept AS ({ORACLE_SQL["temporal_slice"].replace("WITH p AS", "WITH q AS").replace("FROM p", "FROM q")})"""
+QUERIES |= {f.__name__: f for f in (response_matrix, participation_profile, group_traces, event_covariance, pca_scores, pca_loadings, event_importance, link_rewrite)}
+ORACLE_SQL |= {
+    "response_matrix": f"""SELECT c_custkey AS member, any_value(c_mktsegment) AS "group",
+{", ".join(f"max(value) FILTER (event = '1996-{m:02d}') AS m{m:02d}" for m in range(1, 13))}
+FROM customer LEFT JOIN ({LONG}) ON member = c_custkey GROUP BY c_custkey""",
+    "participation_profile": f"""WITH {SLICE} SELECT member, votes_count,
+round(1 + coalesce(8.0::DOUBLE * (votes_count - lo) / nullif(hi - lo, 0), 0), 6) AS size, round(100.0::DOUBLE * votes_count / hi, 6) AS percent
+FROM kept, (SELECT min(votes_count) AS lo, max(votes_count) AS hi FROM kept)""",
+    "group_traces": f'WITH {SLICE} SELECT "group", count(*) AS members, min(votes_count) AS least, max(votes_count) AS most FROM kept GROUP BY 1',
+    "event_covariance": f"""WITH {SLICE}, r AS (SELECT p.* FROM p SEMI JOIN kept USING (member)), n AS (SELECT count(DISTINCT member)::DOUBLE AS n FROM r),
+s AS (SELECT event, sum(value)::DOUBLE AS s FROM r GROUP BY 1),
+x AS (SELECT a.event AS ea, b.event AS eb, sum(a.value * b.value)::DOUBLE AS xy FROM r a JOIN r b USING (member) GROUP BY 1, 2)
+SELECT a.event AS event_a, b.event AS event_b, round((coalesce(xy, 0) - a.s * b.s / n) / (n - 1), 6) AS cov
+FROM s a CROSS JOIN s b CROSS JOIN n LEFT JOIN x ON ea = a.event AND eb = b.event""",
+    "link_rewrite": r"""SELECT n_nationkey, regexp_replace('see [' || n_name || '](a.ipynb) or [b](b.html)', '\[([^\]]*)\]\(([^)]*)\.ipynb\)', '[\1](\2.html)', 'g') AS source FROM nation""",
+}

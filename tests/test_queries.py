@@ -9,8 +9,8 @@ def test_equals_sql(spark, sf, name):
     con = duckdb.connect()
     for t in ("lineitem", "orders", "customer", "nation", "events"):
         con.sql(f"create view {t} as select * from '{sf}/{t}.parquet'")
-    got = queries.QUERIES[name](spark, sf).toPandas()
-    want = con.sql(queries.ORACLE_SQL[name]).df()
+    got, want = queries.QUERIES[name](spark, sf), con.sql(queries.ORACLE_SQL[name])
     columns = sorted(got.columns)
     assert columns == sorted(want.columns)
-    assert sorted(map(str, got[columns].values.tolist())) == sorted(map(str, want[columns].values.tolist()))
+    rows = want.select(*(duckdb.ColumnExpression(c) for c in columns)).fetchall()
+    assert sorted(map(str, map(tuple, got.select(*columns).collect()))) == sorted(map(str, rows))
