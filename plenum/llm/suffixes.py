@@ -109,6 +109,7 @@ def _dealt(rid: np.ndarray, pos: np.ndarray, name: np.ndarray, buckets: int) ->
     flag[first] |= LEAD
     name = np.where(flag & LEAD, name, (rid * 31 + pos).astype(np.uint64))
     bucket = (name % np.uint64(buckets)).astype(np.int32)
+    name = np.where(flag & LEAD, name, 0)  # settled already; zeros pack well
     order = np.argsort(bucket, kind="stable")
     bucket = bucket[order]
     cuts = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
