@@ -43,6 +43,11 @@ def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
     return spark.table(table)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete shuffle files of finished jobs, which it does when the driver's JVM collects garbage."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def text_of(df: DataFrame, column: str = "text") -> Column:
     """The text column, null as the empty string."""
     return F.coalesce(df[column].cast("string"), F.lit(""))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plenum.llm.common import bucketed, shuffle_partitions, staged, text_of
+from plenum.llm.common import bucketed, release, shuffle_partitions, staged, text_of
 
 LENGTH = 400
 ORDER = 13
@@ -217,12 +217,14 @@ def removal(docs: DataFrame, length: int = LENGTH, order: int = ORDER, id_col: s
     rows = docs.select(docs[id_col].alias("doc_id"), text_of(docs, text_col).cast("binary").alias("t"))
     rows = rows.withColumn("rid", F.monotonically_increasing_id()).select("rid", "t", F.col("doc_id").cast("long").alias("doc_id"))
     rows = bucketed(rows, "rid", "suffix_rows")
+    release(docs.sparkSession)
 
     def all_samples(batch, k, n):
         return sampled(n, short, cover, v)
 
     texts = rows.select("rid", "t")
     near = staged(repeated(texts, all_samples, short, "near"), "suffix-near")
+    release(docs.sparkSession)
 
     def long_samples(batch, k, n):
         at = _list(batch, "near", k)
@@ -230,6 +232,7 @@ def removal(docs: DataFrame, length: int = LENGTH, order: int = ORDER, id_col: s
 
     sure = repeated(texts.join(near, "rid"), long_samples, long, "sure")
     lists = staged(near.join(sure, "rid", "left"), "suffix-sure")
+    release(docs.sparkSession)
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Samples with their short names; ``open`` where a start before one is not settled."""
@@ -250,6 +253,7 @@ def removal(docs: DataFrame, length: int = LENGTH, order: int = ORDER, id_col: s
     salted = samples.withColumn("salt", F.pmod(F.xxhash64("rid", "pos"), F.lit(SALTS)).cast("int"))
     asked = salted.join(wanted, ["name", "salt"], "left_semi").groupBy("rid").agg(F.array_sort(F.collect_list("pos")).alias("asked"))
     asked = staged(asked, "suffix-asked")
+    release(docs.sparkSession)
 
     def open_starts(batch, k, n):
         return np.flatnonzero(_reach(n - length + 1, _list(batch, "asked", k), v - 1, 1)) if n >= length else np.empty(0, np.int64)
