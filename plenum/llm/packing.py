@@ -28,7 +28,7 @@ from plenum.llm.common import numbered, staged, text_of
 CAPACITY = 4096
 END_ID = 1
 #: Blocks whose ids a worker keeps from one run of texts to the next, and characters in a run.
-CACHE = 600_000
+CACHE = 1_000_000
 RUN = 1 << 21
 #: Marks that, after a letter or digit of an ASCII block, the vocabulary never joins to it.
 MARKS = ".,;:!?*&#$%"
@@ -134,25 +134,52 @@ def _tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path), {}
+    model = Tokenizer.from_file(path)
+    vocabulary = model.get_vocab()
+    ends = np.zeros(max(vocabulary.values()) + 1, bool)
+    ends[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
+    return model, ends, {}
+
+
+def _encode(parts: list[str], model, ends: np.ndarray, known: dict[str, bytes]) -> None:
+    """Words of letters are one piece each and are encoded in one call; ids of a word's end part them."""
+    words = [p for p in parts if p.isalpha()]
+    rest = [p for p in parts if not p.isalpha()]
+    for at in range(0, len(words), 8192):
+        cut = words[at : at + 8192]
+        ids = np.array(model.encode_batch_fast([" ".join(cut)], add_special_tokens=False)[0].ids, dtype="<u4")
+        stops = np.flatnonzero(ends[ids]) + 1
+        if len(stops) != len(cut):  # a letter's lower case is more than a letter
+            rest += cut
+            continue
+        data, lo = ids.tobytes(), 0
+        for w, hi in zip(cut, (4 * stops).tolist()):
+            known[w] = data[lo:hi]
+            lo = hi
+    for at in range(0, len(rest), 4096):
+        cut = rest[at : at + 4096]
+        for p, e in zip(cut, model.encode_batch_fast(cut, add_special_tokens=False)):
+            known[p] = array("I", e.ids).tobytes()
 
 
-def _learn(new: list[str], model, known: dict[str, bytes]) -> None:
+def _learn(new: set[str], model, ends: np.ndarray, known: dict[str, bytes]) -> None:
     """Encode blocks not known yet.
 
     An ASCII block's marks after its last letter or digit are pieces of their own, and case is
     dropped, so such blocks are put together from their parts.
     """
-    parts = {}
+    joined, missing = [], set()
     for w in new:
-        core = w.rstrip(MARKS)
-        parts[w] = (core.lower(), w[len(core) :]) if core and w.isascii() and core[-1].isalnum() else (w, "")
-    missing = [p for p in dict.fromkeys(p for pair in parts.values() for p in pair) if p not in known]
-    for at in range(0, len(missing), 4096):
-        cut = missing[at : at + 4096]
-        for p, e in zip(cut, model.encode_batch_fast(cut, add_special_tokens=False)):
-            known[p] = array("I", e.ids).tobytes()
-    for w, (core, tail) in parts.items():
+        core = w.rstrip(MARKS) if w.isascii() else ""
+        if core and core[-1].isalnum():
+            low, tail = core.lower(), w[len(core) :]
+            joined.append((w, low, tail))
+            missing.add(low)
+            missing.add(tail)
+        else:
+            missing.add(w)
+    _encode(list(missing.difference(known)), model, ends, known)
+    for w, core, tail in joined:
         known[w] = known[core] + known[tail]
 
 
@@ -162,7 +189,7 @@ def token_ids(texts: list[str], path: str) -> Iterator[np.ndarray]:
     Blocks are looked up for a run of texts at a time; more than ``CACHE`` of them are forgotten
     before the next run.
     """
-    model, known = _tokenizer(path)
+    model, ends, known = _tokenizer(path)
     at = 0
     while at < len(texts):
         run, size = [], 0
@@ -172,7 +199,7 @@ def token_ids(texts: list[str], path: str) -> Iterator[np.ndarray]:
             at += 1
         if len(known) > CACHE:
             known.clear()
-        _learn(list({w for words in run for w in words}.difference(known)), model, known)
+        _learn({w for words in run for w in words}.difference(known), model, ends, known)
         for words in run:
             yield np.frombuffer(b"".join([known[w] for w in words]), dtype="<u4")
 
