@@ -25,6 +25,11 @@ def events_of(long: DataFrame) -> list[str]:
     return found
 
 
+def all_events(long: DataFrame) -> list[str]:
+    """Every event, ordered, however many; only their names reach the driver."""
+    return [r.event for r in long.select("event").distinct().orderBy("event").collect()]
+
+
 def pivot(long: DataFrame, events: list[str]) -> DataFrame:
     """One row per member, one column per event, null where there is no response."""
     return long.groupBy("member").pivot("event", events).agg(F.first("value"))

@@ -116,6 +116,14 @@ def response_matrix(spark: SparkSession, d: str) -> DataFrame:
     return customer.join(wide, "member", "left").select("member", "group", *(F.col(f"`{m}`").alias("m" + m[5:]) for m in months))
 
 
+def response_matrix_full(spark: SparkSession, d: str) -> DataFrame:
+    """Every member, one column per event of the table, null where there is no response."""
+    long = response_long(spark, d)
+    wide = matrix.pivot(long, matrix.all_events(long))
+    customer = spark.read.parquet(f"{d}/customer.parquet").select(F.col("c_custkey").alias("member"), F.col("c_mktsegment").alias("group"))
+    return customer.join(wide, "member", "left")
+
+
 def participation_profile(spark: SparkSession, d: str) -> DataFrame:
     """Marker size 1 to 9 and per cent of the highest participation, per member of the slice."""
     counts = temporal_slice(spark, d).select("member", "votes_count")
@@ -172,11 +180,13 @@ def link_rewrite(spark: SparkSession, d: str) -> DataFrame:
 
 SLICE = f"""p AS (SELECT * FROM ({LONG}) WHERE event > '1996-06' AND event < '1998-07'),
 kept AS ({ORACLE_SQL["temporal_slice"].replace("WITH p AS", "WITH q AS").replace("FROM p", "FROM q")})"""
-QUERIES |= {f.__name__: f for f in (response_matrix, participation_profile, group_traces, event_covariance, pca_scores, pca_loadings, event_importance, link_rewrite)}
+QUERIES |= {f.__name__: f for f in (response_matrix, response_matrix_full, participation_profile, group_traces, event_covariance, pca_scores, pca_loadings, event_importance, link_rewrite)}
 ORACLE_SQL |= {
     "response_matrix": f"""SELECT c_custkey AS member, any_value(c_mktsegment) AS "group",
 {", ".join(f"max(value) FILTER (event = '1996-{m:02d}') AS m{m:02d}" for m in range(1, 13))}
 FROM customer LEFT JOIN ({LONG}) ON member = c_custkey GROUP BY c_custkey""",
+    "response_matrix_full": f"""SELECT c_custkey AS member, c_mktsegment AS "group", w.* EXCLUDE (member)
+FROM customer LEFT JOIN (PIVOT ({LONG}) ON event USING max(value) GROUP BY member) w ON member = c_custkey""",
     "participation_profile": f"""WITH {SLICE} SELECT member, votes_count,
 round(1 + coalesce(8.0::DOUBLE * (votes_count - lo) / nullif(hi - lo, 0), 0), 6) AS size, round(100.0::DOUBLE * votes_count / hi, 6) AS percent
 FROM kept, (SELECT min(votes_count) AS lo, max(votes_count) AS hi FROM kept)""",

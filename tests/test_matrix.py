@@ -58,3 +58,16 @@ def test_nested_votes(spark, tmp_path):
     raw = ingest.read_votes(spark, str(tmp_path / "v.json"))
     assert {(r.mep_id, r.voteid): r.value for r in ingest.responses(raw).collect()} == {("1", "v"): 0, ("2", "v"): 1, ("3", "v"): -1, ("1", "w"): -1}
     assert {r.voteid: (r.title, r.ts) for r in ingest.vote_summary(raw).collect()} == {"v": ("new", 1420156800000.0), "w": (None, None), "z": (None, None)}
+
+
+def test_matrix_holds_every_event_and_response(spark, sf):
+    long = queries.response_long(spark, sf).toPandas()
+    got = queries.QUERIES["response_matrix_full"](spark, sf).toPandas().set_index("member").drop(columns="group")
+    assert sorted(got.columns) == sorted(long.event.unique()) and long.event.str[:4].nunique() > 1
+    cells = got.stack().dropna().astype(int)
+    assert cells.to_dict() == {(r.member, r.event): r.value for r in long.itertuples()}
+
+
+def test_all_events_beyond_the_covariance_bound(spark):
+    long = spark.range(matrix.MAX_EVENTS + 1).selectExpr("id % 3 AS member", "'e' || id AS event", "1 AS value")
+    assert len(matrix.all_events(long)) == matrix.MAX_EVENTS + 1
