@@ -34,8 +34,6 @@ KINDS = (*BASE, *MORE)
 TYPES = len(KINDS) + 1
 MAX_TOKENS = 12
 DIM = 1 << 13
-#: Tokens of a window that are decoded at a time; cuts fall at white space.
-SPAN = 400
 
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -140,9 +138,8 @@ class Model:
         self.moves = np.zeros((TYPES, TYPES))
 
 
-def lattice(text: str, tokens: list[tuple[int, int]], base: frozenset) -> list[tuple[int, int, list[int]]]:
-    """Candidate segments (first token, end token, features). Those of one token may be outside."""
-    out = []
+def candidates(text: str, tokens: list[tuple[int, int]], base: frozenset) -> Iterator[tuple[int, int, list[int]]]:
+    """Candidate segments (first token, end token, features), by first token. Those of one token may be outside."""
     for i, (a, _) in enumerate(tokens):
         before = text[tokens[i - 1][0] : tokens[i - 1][1]] if i else ""
         for j in range(i + 1, min(i + MAX_TOKENS, len(tokens)) + 1):
@@ -152,38 +149,51 @@ def lattice(text: str, tokens: list[tuple[int, int]], base: frozenset) -> list[t
             if j > i + 1 and not TRIGGER.search(text, a, b):
                 continue
             after = text[tokens[j][0] : tokens[j][1]] if j < len(tokens) else ""
-            out.append((i, j, segment_features(text, a, b, before, after, base)))
-    return out
+            yield i, j, segment_features(text, a, b, before, after, base)
+
+
+def lattice(text: str, tokens: list[tuple[int, int]], base: frozenset) -> list[tuple[int, int, list[int]]]:
+    return list(candidates(text, tokens, base))
+
+
+def _score(model: Model, i: int, j: int, f: list[int]) -> np.ndarray:
+    s = model.weights[f].sum(axis=0)
+    if j > i + 1:
+        s[0] = -np.inf  # outside has length one
+    return s
 
 
 def _scores(model: Model, segments) -> list[np.ndarray]:
-    out = []
-    for i, j, f in segments:
-        s = model.weights[f].sum(axis=0)
-        if j > i + 1:
-            s[0] = -np.inf  # outside has length one
-        out.append(s)
-    return out
+    return [_score(model, *x) for x in segments]
 
 
 def decode(model: Model, n: int, segments) -> list[tuple[int, int, int]]:
-    """Best segmentation as (first token, end token, type), outside left out."""
-    best = np.full((n + 1, TYPES), -np.inf)
+    """Best segmentation as (first token, end token, type), outside left out.
+
+    ``segments`` come by first token and are read once, so a window of any length is decoded
+    whole: only the last columns of scores are held, and two bytes a token and type to go back.
+    """
+    ring = MAX_TOKENS + 1
+    best = np.full((ring, TYPES), -np.inf)  # column j is row j % ring
     best[0, 0] = 0
-    back: dict = {}
-    ready: dict = {}
-    for (i, j, _), s in zip(segments, _scores(model, segments)):  # sorted by first token
-        if i not in ready:
-            reach = best[i][:, None] + model.moves
-            ready[i] = (reach.max(axis=0), reach.argmax(axis=0))
-        top, arg = ready[i]
-        value = top + s
-        for y in np.flatnonzero(value > best[j]):
-            best[j, y] = value[y]
-            back[j, int(y)] = (i, int(arg[y]))
-    out, j, y = [], n, int(best[n].argmax())
+    length = np.zeros((n + 1, TYPES), np.uint8)
+    prior = np.zeros((n + 1, TYPES), np.uint8)
+    at = -1
+    for i, j, f in segments:
+        while at < i:
+            if at >= 0:
+                best[at % ring] = -np.inf  # becomes column at + ring
+            at += 1
+            reach = best[at % ring][:, None] + model.moves
+            top, arg = reach.max(axis=0), reach.argmax(axis=0)
+        value = top + _score(model, i, j, f)
+        better = value > best[j % ring]
+        best[j % ring, better] = value[better]
+        length[j, better] = j - i
+        prior[j, better] = arg[better]
+    out, j, y = [], n, int(best[n % ring].argmax())
     while j:
-        i, before = back[j, y]
+        i, before = j - int(length[j, y]), int(prior[j, y])
         if y:
             out.append((i, j, y))
         j, y = i, before
@@ -337,12 +347,10 @@ def added_spans(text: str, base: list[tuple[int, int, int]], model: Model) -> li
             k += 1
         local = frozenset((x - a, kind, y - a) for x, kind, y in near)
         tokens = [m.span() for m in TOKEN.finditer(part)]
-        for first in range(0, len(tokens), SPAN):
-            some = tokens[first : first + SPAN]
-            for i, j, y in decode(model, len(some), lattice(part, some, local)):
-                x, z = some[i][0] + a, some[j - 1][1] + a
-                if z - x >= 7 and not any(x < e and s < z for s, _, e in near):
-                    out.append((x, y - 1, z))
+        for i, j, y in decode(model, len(tokens), candidates(part, tokens, local)):
+            x, z = tokens[i][0] + a, tokens[j - 1][1] + a
+            if z - x >= 7 and not any(x < e and s < z for s, _, e in near):
+                out.append((x, y - 1, z))
     return out
 
 

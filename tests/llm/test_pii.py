@@ -87,3 +87,16 @@ def test_nulls_empties_long_and_redaction(frame):
     assert [r.text for r in clean.where("doc_id = 3").collect()] == ["x [EMAIL] y"] * 2
     assert clean.where("doc_id = 1").first().text is None
     assert pii.scan_pii(frame([])).count() == 0
+
+
+def test_long_lists_lose_no_entry():
+    model, rng = pii.train(), random.Random(3)
+    for make in (lambda: f"{rng.randint(1, 899):03d}-{rng.randint(1, 99):02d}-{rng.randint(0, 9999):04d}", lambda: pii._iban(rng)):
+        for join in (", ", "\n"):
+            text, gold = "list ", set()
+            for value in (make() for _ in range(150)):
+                gold.add((len(text), len(text) + len(value)))
+                text += value + join
+            found = pii.find(text, model)[1]
+            assert {(a, b) for a, _, b in found} == gold
+            assert not re.search("[0-9]", pii.mask(text, found))
