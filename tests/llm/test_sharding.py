@@ -51,3 +51,23 @@ def test_nulls_empties_repeats_and_hot_group(frame):
     for _, part in got.groupby("shard"):
         assert sorted(part.slot) == list(range(len(part)))
     assert sharding.shard_documents(frame([])).count() == 0
+
+
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(1, 30)), min_size=1, max_size=30), st.integers(1, 5))
+def test_group_cuts_equal_cuts_over_all_groups(pairs, shards):
+    groups = np.array([(c, k, k, s, 1) for k, (c, s) in enumerate(sorted(pairs))])
+    units = np.array([(c, *groups[groups[:, 0] == c][0, 1:3], groups[groups[:, 0] == c][:, 3].sum(), (groups[:, 0] == c).sum()) for c in np.unique(groups[:, 0])])
+    got = sharding.group_cuts(units, int(groups[:, 3].max()), shards, lambda chosen: groups[np.isin(groups[:, 0], chosen)])
+    want = sharding.cuts(groups[:, 3], shards)
+    assert [k if c < 4 else len(groups) for c, k, _ in got] == want.tolist()
+
+
+def test_cuts_fall_between_groups_of_a_cell(frame, monkeypatch):
+    monkeypatch.setattr(sharding, "CELL_BITS", 2)
+    rows = [(i, f"t{i % 300}" * (1 + i % 7)) for i in range(600)]
+    got = sharding.shard_documents(frame(rows), shards=10).toPandas()
+    got["text"] = got.doc_id.map(dict(rows))
+    assert len(got) == 600 and got.groupby("text").shard.nunique().max() == 1
+    assert got.groupby("shard")["size"].sum().max() <= got["size"].sum() / 10 + got.groupby("text")["size"].sum().max()
+    for _, part in got.groupby("shard"):
+        assert sorted(part.slot) == list(range(len(part)))
