@@ -19,12 +19,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plenum.llm.common import text_of
+from plenum.llm.common import staged, text_of
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SYMBOL = re.compile(r"[#*$%&|<>]")
 #: Good documents that one rule may reject, and the chance that any of the bounds fails.
 ALPHA, DELTA = 0.02, 0.05
+#: Strata with cutoffs up to which these are broadcast; of more, each is dealt to ``SALTS`` places.
+MOST, SALTS = 50_000, 16
 #: Rules: numerator, denominator, and the grid of cutoffs in thousandths, mildest first. Fixed values.
 RULES = {
     "symbols": ("n_symbols", "word_chars", (500, 400, 300, 250, 200, 150, 100, 70, 50)),
@@ -94,29 +96,30 @@ def _above(rule: str, cutoff):
     return F.coalesce(F.col(top) * 1000 > cutoff * F.col(under), F.lit(False))
 
 
-def cutoffs(measured: DataFrame, labels: DataFrame, stratum: str, alpha: float, delta: float, id_col: str = "doc_id") -> dict[tuple[str | None, str], int]:
-    """Certified cutoffs by (stratum, rule). The counts are one row per stratum."""
+def cutoffs(measured: DataFrame, labels: DataFrame, stratum: str, alpha: float, delta: float, id_col: str = "doc_id") -> DataFrame:
+    """``_stratum, _<rule>...``: certified cutoffs of each stratum that has one, null where a rule has none."""
     good = labels.where(labels.quality == 1).select(labels[id_col].cast("long").alias("doc_id")).distinct()
     passed = measured.where("NOT base_failed").join(good, "doc_id")
     sums = [F.count_if(_above(r, c)).alias(f"{r}_{c}") for r, (_, _, grid) in RULES.items() for c in grid]
-    found = passed.groupBy(stratum).agg(F.count(F.lit(1)).alias("good"), *sums).orderBy(F.desc("good"), stratum).limit(1000).collect()
-    level = delta / max(1, len(RULES) * len(found))
-    out = {}
-    for row in found:
-        for rule, (_, _, grid) in RULES.items():
-            best = certified({c: row[f"{rule}_{c}"] for c in grid}, row.good, grid, alpha, level)
-            if best is not None:
-                out[row[stratum], rule] = best
-    return out
+    found = staged(passed.groupBy(F.col(stratum).alias("_stratum")).agg(F.count(F.lit(1)).alias("good"), *sums), "quality-strata")
+    level = delta / max(1, len(RULES) * found.count())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.to_pylist()
+            best = [pa.array([certified({c: row[f"{rule}_{c}"] for c in grid}, row["good"], grid, alpha, level) for row in rows], pa.int32()) for rule, (_, _, grid) in RULES.items()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *best], ["_stratum", *(f"_{r}" for r in RULES)])
+
+    out = found.mapInArrow(run, ", ".join(["_stratum string", *(f"_{r} int" for r in RULES)]))
+    return staged(out.where(F.coalesce(*(F.col(f"_{r}") for r in RULES)).isNotNull()), "quality-cutoffs")
 
 
 def quality(docs: DataFrame, labels: DataFrame, stratum: str = "lang", alpha: float = ALPHA, delta: float = DELTA, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``id_col``, the counts, ``base_failed``, ``kept``.
 
     A null text has no words and fails the base rules. A null stratum is a stratum. Labels that
-    are null, or of rows without a document, are not used; of strata without good labels (or
-    beyond the 1000 with the most) nothing is rejected but by the base rules. Repeated rows
-    count each. An empty table gives no rows; columns beyond those named are not read.
+    are null, or of rows without a document, are not used; of strata without good labels
+    nothing is rejected but by the base rules. Repeated rows count each. An empty table gives no rows; columns beyond those named are not read.
     """
     measured = _measure(docs, [stratum], id_col, text_col)
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
@@ -125,8 +128,16 @@ def quality(docs: DataFrame, labels: DataFrame, stratum: str = "lang", alpha: fl
     wanted = labels.where(labels.quality == 1).select(labels[id_col].alias("_id")).distinct()
     labelled = docs.join(wanted, docs[id_col] == wanted["_id"], "left_semi")
     chosen = cutoffs(_measure(labelled, [stratum], id_col, text_col).withColumn("base_failed", base), labels, stratum, alpha, delta, id_col)
+    same = F.col(stratum).eqNullSafe(F.col("_stratum"))
+    if chosen.count() <= MOST:
+        chosen = F.broadcast(chosen)
+    else:
+        measured = measured.withColumn("_salt", F.pmod(F.xxhash64("doc_id", *COUNTS), F.lit(SALTS)))
+        chosen = chosen.withColumn("_place", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        same = same & (F.col("_salt") == F.col("_place"))
+    measured = measured.join(chosen, same, "left")
     rejected = F.lit(False)
-    for (value, rule), cutoff in sorted(chosen.items(), key=str):
-        rejected = rejected | (F.col(stratum).eqNullSafe(F.lit(value)) & _above(rule, F.lit(cutoff)))
+    for rule in RULES:
+        rejected = rejected | _above(rule, F.col(f"_{rule}"))
     out = measured.withColumn("kept", ~F.col("base_failed") & ~rejected)
     return out.select(F.col("doc_id").alias(id_col), *COUNTS, "base_failed", "kept")

@@ -1,6 +1,8 @@
 import re
 from math import comb
 
+import pytest
+
 from plenum.llm import quality as Q
 
 
@@ -44,3 +46,15 @@ def test_nulls_empties_and_clashing_names(spark, frame):
     assert len(got) == 6 and got.base_failed.all() and not got.kept.any()
     assert list(got[got.doc_id == 4].n_dup_lines) == [1, 1]
     assert Q.quality(frame([]), labels).count() == 0
+
+
+@pytest.mark.parametrize("most", [Q.MOST, 0])
+def test_every_stratum_has_cutoffs(spark, monkeypatch, most):
+    monkeypatch.setattr(Q, "MOST", most)
+    n, each = 1100, 5
+    text = " ".join(f"w{k}" for k in range(60))
+    rows = [(i, text.upper() if i % each == 0 else text, None if i < each else f"s{i // each:04d}") for i in range(n * each)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % each > 0)) for i in range(n * each)], "doc_id long, quality int")
+    got = Q.quality(docs, labels, alpha=0.9, delta=1.0).toPandas()
+    assert len(got) == n * each and (got.kept == (got.doc_id % each > 0)).all()
