@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 
 #: Events above which a covariance over events is refused: its sums go to the driver.
 MAX_EVENTS = 2000
+#: Spark's limit on the depth of a tree; the reference has none.
+MAX_DEPTH = 30
+#: Trees that the driver holds at a time.
+TREES_AT_ONCE = 20
 
 
 def events_of(long: DataFrame) -> list[str]:
@@ -104,6 +108,14 @@ def importances(dense: DataFrame, target: DataFrame, events: list[str], trees: i
     from pyspark.ml.regression import RandomForestRegressor
 
     rows = dense.join(target, "member").select(array_to_vector("x").alias("features"), F.col("PCA0").alias("label"))
-    forest = RandomForestRegressor(numTrees=trees, seed=seed, maxDepth=8, featureSubsetStrategy="onethird").fit(rows)
-    ranked = sorted(zip(forest.featureImportances.toArray().tolist(), events), key=lambda p: (-p[0], p[1]))[:20]
+    rows, total = rows.persist(), np.zeros(len(events))
+    # a forest's importances are the mean of its trees', so forests can be grown one by one
+    for first in range(0, trees, TREES_AT_ONCE):
+        n = min(TREES_AT_ONCE, trees - first)
+        forest = RandomForestRegressor(numTrees=n, seed=seed + first, maxDepth=MAX_DEPTH, featureSubsetStrategy="onethird").fit(rows)
+        total += n * forest.featureImportances.toArray()
+        del forest
+    rows.unpersist()
+    total /= trees
+    ranked = sorted(zip(total.tolist(), events), key=lambda p: (-p[0], p[1]))[:20]
     return dense.sparkSession.createDataFrame([(k, e, v) for k, (v, e) in enumerate(ranked)], "rank int, event string, importance double")

@@ -71,3 +71,15 @@ def test_matrix_holds_every_event_and_response(spark, sf):
 def test_all_events_beyond_the_covariance_bound(spark):
     long = spark.range(matrix.MAX_EVENTS + 1).selectExpr("id % 3 AS member", "'e' || id AS event", "1 AS value")
     assert len(matrix.all_events(long)) == matrix.MAX_EVENTS + 1
+
+
+def test_trees_grow_beyond_depth_8(spark, monkeypatch):
+    from pyspark.ml.regression import RandomForestRegressor
+
+    models, fit = [], RandomForestRegressor.fit
+    monkeypatch.setattr(RandomForestRegressor, "fit", lambda self, rows: models.append(fit(self, rows)) or models[-1])
+    x = np.random.default_rng(0).integers(-1, 2, (2000, 12)).astype(float)
+    dense = spark.createDataFrame([(k, row.tolist()) for k, row in enumerate(x)], "member long, x array<double>")
+    target = spark.createDataFrame([(k, float(row @ np.arange(12))) for k, row in enumerate(x)], "member long, PCA0 double")
+    matrix.importances(dense, target, [f"e{k}" for k in range(12)], trees=3)
+    assert max(t.depth for t in models[0].trees) > 8
