@@ -35,6 +35,49 @@ def test_cover_and_names():
     assert len(set(got.tolist())) == 256 and got[0] == got[256]
 
 
+def test_starts_by_ranks_equal_counting():
+    rng, v, room = random.Random(3), 7, 10
+    texts = ["".join(rng.choice("ab") for _ in range(rng.randint(10, 40))).encode() for _ in range(60)]
+    data, ends = b"".join(texts), np.cumsum([len(t) for t in texts])
+    at = np.array([s for s in range(len(data)) if s + room <= ends[np.searchsorted(ends, s, side="right")]])
+    windows, left, right = S._windows(data, ends, at, v, room)
+    for k, s in enumerate(at.tolist()):
+        a, b = max([0, *(e for e in ends if e <= s)]), min(e for e in ends if e > s)
+        want = data[max(a, s - v + 1) : min(b, s + room + v - 1)]
+        assert windows[k].tobytes()[v - 1 - left[k] : v - 1 + room + right[k]] == want
+    got = S.shared_starts(windows, left, right, np.zeros(len(at), np.uint8), v, room)
+    for d in range(v):
+        strings = [data[s - d : s - d + room + v - 1] if left[k] >= d and right[k] >= v - 1 - d else None for k, s in enumerate(at.tolist())]
+        count = Counter(strings)
+        assert got[:, d].tolist() == [x is not None and count[x] > 1 for x in strings]
+
+
+def thue_morse(a, b, n=64):
+    return "".join(b if bin(k).count("1") % 2 else a for k in range(n))
+
+
+def test_strings_that_collide_under_rolling_hashes(frame):
+    pairs = [("(", "8"), ("c", "("), (" ", "#")]
+    texts = []
+    for k in range(8):
+        word = "".join(thue_morse(*(p[::-1] if k >> i & 1 else p)) for i, p in enumerate(pairs))
+        texts.append((k, "x" * 104 + word + "y" * 104))
+    want = slow(texts, 400)
+    assert {r[2] for r in want} == {0} and rows_of(S.removal(frame(texts))) == want
+    assert rows_of(S.removal(frame(texts), hot=1)) == want
+
+
+def test_very_long_text(frame):
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(7)) for _ in range(4000)]
+    long = " ".join(rng.choice(words) for _ in range(250_000))  # longer than a chunk
+    texts = [(1, long), (2, long[700_000:700_900]), (3, "q" * 500), (4, long[:100] + "!" + long[1_500_000:1_500_399])]
+    got = {r[0]: r for r in rows_of(S.removal(frame(texts)))}
+    assert len(long) > S.CHUNK and got[2][2] == 900 and got[4][2] == 0 and got[3][2] == 500
+    kept = long[:700_000] + long[700_900:]
+    assert got[1][1:] == (len(long), 900, 1, hashlib.sha256(kept.encode()).hexdigest())
+
+
 def test_whole_table(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     assert rows_of(S.removal(docs)) == slow([(r.doc_id, r.text) for r in docs.collect()], 400)
@@ -47,7 +90,9 @@ def test_small_strings_nulls_and_ties(frame):
     for i in range(30):
         a, b = sorted(rng.sample(range(len(base)), 2))
         texts.append((10 + i, "".join(rng.choice("xyz") for _ in range(rng.randint(0, 40))) + base[a:b] + "".join(rng.choice("xyz") for _ in range(20))))
-    df = frame(texts, ["rid", "t", "near", "pos"])
+    df = frame(texts, ["key", "t", "near", "chunk"])
     assert rows_of(S.removal(df, length=40, order=3)) == slow(texts, 40)
+    assert rows_of(S.removal(df, length=40, order=3, hot=2)) == slow(texts, 40)
     assert rows_of(S.removal(df, length=14, order=3)) == slow(texts, 14)
     assert S.removal(frame([])).count() == 0
+    assert not frame([]).sparkSession.catalog.listTables()
