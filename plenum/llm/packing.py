@@ -11,12 +11,14 @@ piece's number within its length then names its run, and so its sequence and its
 from __future__ import annotations
 
 import bisect
+import json
 import os
+import unicodedata
 import zlib
-from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,11 +29,28 @@ from plenum.llm.common import numbered, staged, text_of
 
 CAPACITY = 4096
 END_ID = 1
-#: Blocks whose ids a worker keeps from one run of texts to the next, and characters in a run.
-CACHE = 1_000_000
-RUN = 1 << 21
+#: Bytes of text whose blocks are looked up together, and bytes up to which a block is compared with others.
+RUN = 8 << 20
+WIDE = 32
 #: Marks that, after a letter or digit of an ASCII block, the vocabulary never joins to it.
 MARKS = ".,;:!?*&#$%"
+#: How a vocabulary must normalise, split and end words for blocks to be encoded alone.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+SPLITTER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": PIECES}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+END = "</w>"
+LETTER, DIGIT, MARK, HIGH = 1, 2, 3, 4
+KIND = np.zeros(256, np.uint8)
+for _kind, _bytes in ((LETTER, range(97, 123)), (DIGIT, range(48, 58)), (MARK, MARKS.encode()), (HIGH, range(128, 256))):
+    KIND[list(_bytes)] = _kind
+REST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
 
 
 def default_tokenizer() -> str:
@@ -128,80 +147,166 @@ class Plan:
             self._gap(gap, first + whole, rest)
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    # a task has one core; the library's own threads cost more than the short blocks they encode
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    model = Tokenizer.from_file(path)
-    vocabulary = model.get_vocab()
-    ends = np.zeros(max(vocabulary.values()) + 1, bool)
-    ends[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
-    return model, ends, {}
-
-
-def _encode(parts: list[str], model, ends: np.ndarray, known: dict[str, bytes]) -> None:
-    """Words of letters are one piece each and are encoded in one call; ids of a word's end part them."""
-    words = [p for p in parts if p.isalpha()]
-    rest = [p for p in parts if not p.isalpha()]
-    for at in range(0, len(words), 8192):
-        cut = words[at : at + 8192]
-        ids = np.array(model.encode_batch_fast([" ".join(cut)], add_special_tokens=False)[0].ids, dtype="<u4")
-        stops = np.flatnonzero(ends[ids]) + 1
-        if len(stops) != len(cut):  # a letter's lower case is more than a letter
-            rest += cut
-            continue
-        data, lo = ids.tobytes(), 0
-        for w, hi in zip(cut, (4 * stops).tolist()):
-            known[w] = data[lo:hi]
-            lo = hi
-    for at in range(0, len(rest), 4096):
-        cut = rest[at : at + 4096]
-        for p, e in zip(cut, model.encode_batch_fast(cut, add_special_tokens=False)):
-            known[p] = array("I", e.ids).tobytes()
+class Vocabulary:
+    """A tokenizer, and a barer one for words that are one piece and need no normalising."""
+
+    def __init__(self, path: str):
+        # a task has one core; the library's own threads cost more than the short blocks they encode
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.whole, self.bare = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            form = json.load(f)
+        #: Pieces then end at white space, marks other than apostrophes stand alone, and ASCII case is dropped.
+        self.blocks = (form["normalizer"], form["pre_tokenizer"], form["model"].get("end_of_word_suffix")) == (NORMALIZER, SPLITTER, END)
+        self.bare.normalizer = None
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        names = self.whole.get_vocab()
+        self.ends = np.zeros(max(names.values()) + 1, bool)
+        self.ends[[i for w, i in names.items() if w.endswith(END)]] = True
+
+    def each(self, blocks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of blocks encoded alone, joined, and how many each has."""
+        out = []
+        for at in range(0, len(blocks), 4096):
+            out += [e.ids for e in self.whole.encode_batch_fast(blocks[at : at + 4096], add_special_tokens=False)]
+        return np.array(list(chain.from_iterable(out)), "<u4"), np.fromiter(map(len, out), np.int64, len(out))
+
+    def words(self, joined: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of words; every item of ``joined`` holds words of small letters, parted by spaces. A word's end parts the ids."""
+        ids, sizes = [np.empty(0, "<u4")], [np.empty(0, np.int64)]
+        for text, e in zip(joined, self.bare.encode_batch_fast(joined, add_special_tokens=False)):
+            own = np.array(e.ids, "<u4")
+            cuts = np.flatnonzero(self.ends[own]) + 1
+            size = np.diff(cuts, prepend=0)
+            if len(cuts) != text.count(" ") + 1 or cuts[-1] != len(own):
+                own, size = self.each(text.split(" "))
+            ids.append(own)
+            sizes.append(size)
+        return np.concatenate(ids), np.concatenate(sizes)
 
 
-def _learn(new: set[str], model, ends: np.ndarray, known: dict[str, bytes]) -> None:
-    """Encode blocks not known yet.
-
-    An ASCII block's marks after its last letter or digit are pieces of their own, and case is
-    dropped, so such blocks are put together from their parts.
-    """
-    joined, missing = [], set()
-    for w in new:
-        core = w.rstrip(MARKS) if w.isascii() else ""
-        if core and core[-1].isalnum():
-            low, tail = core.lower(), w[len(core) :]
-            joined.append((w, low, tail))
-            missing.add(low)
-            missing.add(tail)
-        else:
-            missing.add(w)
-    _encode(list(missing.difference(known)), model, ends, known)
-    for w, core, tail in joined:
-        known[w] = known[core] + known[tail]
+@lru_cache(maxsize=2)
+def _tokenizer(path: str) -> Vocabulary:
+    return Vocabulary(path)
+
+
+def _blocks(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the blocks between spaces; marks at the end of an ASCII block are a block of their own."""
+    space = np.flatnonzero(raw == 32)
+    start, end = np.concatenate([[0], space[:-1] + 1]), space
+    start, end = start[end > start], end[end > start]
+    kind = KIND[raw]
+    last = np.maximum.accumulate(np.where(kind == MARK, 0, np.arange(len(raw), dtype=np.int32)))
+    high = np.concatenate([[0], np.cumsum(kind == HIGH, dtype=np.int32)])
+    core = np.maximum(last[end - 1] + 1, start) if len(end) else end
+    parted = np.flatnonzero((core > start) & (core < end) & (high[end] == high[start]))
+    parted = parted[np.isin(kind[core[parted] - 1], (LETTER, DIGIT))]
+    times = np.ones(len(start), np.int64)
+    times[parted] = 2
+    start, end = np.repeat(start, times), np.repeat(end, times)
+    first = np.cumsum(times)[parted] - 2
+    end[first], start[first + 1] = core[parted], core[parted]
+    return start, end
+
+
+def _distinct(blob: bytes, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One block of each kind, and of which kind every block is. Blocks of over ``WIDE`` bytes are kinds of their own."""
+    view = np.ndarray((len(blob) - 7,), "<u8", blob, strides=(1,))
+    size = end - start
+    words, mark = [], size.astype(np.uint64) * MIX[-1]
+    for j in range(0, WIDE, 8):
+        inside = size > j
+        word = np.zeros(len(size), np.uint64)
+        word[inside] = view[start[inside] + j] & REST[np.minimum(size[inside] - j, 8)]
+        words.append(word)
+        mark += word * MIX[j // 8]
+    mark ^= mark >> np.uint64(31)
+    order = np.argsort(mark, kind="stable")
+    head = np.flatnonzero(np.diff(mark[order], prepend=mark[order[:1]] ^ np.uint64(1)) != 0)
+    of = np.empty(len(order), np.int64)
+    of[order] = np.repeat(order[head], np.diff(np.append(head, len(order))))
+    own = size > WIDE
+    for word in (*words, size):  # the bytes decide
+        own |= word != word[of]
+    of[own] = np.flatnonzero(own)
+    one, kind = np.unique(of, return_inverse=True)
+    return one, kind
+
+
+def _spread(values: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """``values[first : first + size]`` of every pair, joined."""
+    stops = np.cumsum(size)
+    return values[np.repeat(first - (stops - size), size) + np.arange(stops[-1] if len(stops) else 0)]
+
+
+def _small(text: str) -> str | None:
+    """Words as the vocabulary's normalising leaves them, None where that is not certain."""
+    if "\u03a3" in text or not unicodedata.is_normalized("NFC", text):  # the small form of a sigma depends on its place
+        return None
+    text = text.lower()
+    return text if text.replace(" ", "").isalpha() else None
+
+
+def _encoded(raw: np.ndarray, start: np.ndarray, end: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of distinct blocks, joined in any order; the first and the number of each block's."""
+    kind = KIND[raw]
+    odd, high = (np.concatenate([[0], np.cumsum(x, dtype=np.int32)]) for x in ((kind != LETTER) & (kind != HIGH), kind == HIGH))
+    letters, wide = odd[end] == odd[start], high[end] != high[start]
+    joined, held, rest = [], [], [np.flatnonzero(~letters)]
+    for chosen in (np.flatnonzero(letters & ~wide), np.flatnonzero(letters & wide)):
+        for at in range(0, len(chosen), 1024):
+            part = chosen[at : at + 1024]
+            size = end[part] - start[part] + 1
+            blob = _spread(raw, start[part], size)  # with the byte after each
+            blob[np.cumsum(size) - 1] = 32
+            text = blob[:-1].tobytes().decode()
+            if wide[part[0]]:
+                small = _small(text)
+                if small is None:
+                    single = [_small(w) for w in text.split(" ")]
+                    fine = np.array([w is not None for w in single])
+                    rest.append(part[~fine])
+                    part, small = part[fine], " ".join(w for w in single if w is not None)
+                text = small
+            if len(part):
+                joined.append(text)
+                held.append(part)
+    others = np.concatenate(rest)
+    ids, sizes = zip(vocabulary.words(joined), vocabulary.each([raw[start[k] : end[k]].tobytes().decode() for k in others.tolist()]))
+    sizes, place = np.concatenate(sizes), np.concatenate([*held, others])
+    first, size = np.empty(len(start), np.int64), np.empty(len(start), np.int64)
+    first[place], size[place] = np.cumsum(sizes) - sizes, sizes
+    return np.concatenate(ids), first, size
 
 
 def token_ids(texts: list[str], path: str) -> Iterator[np.ndarray]:
-    """Ids of each text. The vocabulary's pieces end at white space, so blocks between ASCII spaces are cached.
-
-    Blocks are looked up for a run of texts at a time; more than ``CACHE`` of them are forgotten
-    before the next run.
-    """
-    model, ends, known = _tokenizer(path)
+    """Ids of each text. Where the vocabulary's pieces end at white space, every distinct block of a run of texts is encoded once."""
+    vocabulary = _tokenizer(path)
+    if not vocabulary.blocks:
+        for text in texts:
+            yield np.array(vocabulary.whole.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        return
     at = 0
     while at < len(texts):
-        run, size = [], 0
+        parts, size = [], 0
         while at < len(texts) and size < RUN:
-            run.append(texts[at].replace("\n", " ").split(" "))
-            size += len(texts[at])
+            parts.append(texts[at].encode().lower())  # ASCII only; other characters are the vocabulary's business
+            size += len(parts[-1])
             at += 1
-        if len(known) > CACHE:
-            known.clear()
-        _learn({w for words in run for w in words}.difference(known), model, ends, known)
-        for words in run:
-            yield np.frombuffer(b"".join([known[w] for w in words]), dtype="<u4")
+        blob = b" ".join([*parts, b" " * WIDE]).replace(b"\n", b" ")
+        raw = np.frombuffer(blob, np.uint8)
+        start, end = _blocks(raw)
+        one, kind = _distinct(blob, start, end)
+        ids, first, size = _encoded(raw, start[one], end[one], vocabulary)
+        ids = _spread(ids, first[kind], size[kind])
+        stops = np.concatenate([[0], np.cumsum(size[kind])])
+        texts_end = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1)
+        lo = 0
+        for hi in stops[np.searchsorted(start, texts_end)].tolist():
+            yield ids[lo:hi]
+            lo = hi
 
 
 def _pieces(path: str, capacity: int):
