@@ -41,8 +41,30 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+BATCH_BYTES = 8 << 20
 #: While a scratch table is written: its shuffle files go when it is done, and Python gets batches of bounded bytes.
-WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES)}
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Hold Arrow batches of this session to some megabytes: texts vary in length, and a task's memory with its batches."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if _bytes(spark.conf.get(key)) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
+def _bytes(value: str) -> int:
+    number, unit = re.fullmatch(r"(-?\d+)\s*([a-z]*)", value.strip().lower()).groups()
+    size = int(number) * 1024 ** "_kmgtp".find(unit[0]) if unit and unit[0] != "b" else int(number)
+    return size if size > 0 else 1 << 62
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plenum.llm.common import text_of
+from plenum.llm.common import bound_batches, text_of
 
 #: Base kinds, in order; then the kinds that only the model finds; type 0 is outside.
 BASE = ("email", "ip", "card", "phone")
@@ -369,6 +369,7 @@ def scan_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     Spans are ``kind:start:end`` in code points. A null text is empty; repeated rows give
     repeated results; an empty table gives no rows; other columns are not read.
     """
+    bound_batches(docs.sparkSession)
     model = train()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -399,6 +400,7 @@ def mask(text: str, spans: list[tuple[int, int, int]]) -> str:
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with personal data in ``text_col`` masked; null texts stay null, other columns pass through."""
+    bound_batches(docs.sparkSession)
     model, at, names = train(), docs.columns.index(text_col), docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

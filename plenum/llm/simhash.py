@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plenum.llm.common import shuffle_partitions, staged, text_of
+from plenum.llm.common import free_name, shuffle_partitions, staged, text_of
 from plenum.llm.components import connected, trees
 
 LIMIT = 4
@@ -206,9 +206,9 @@ def one_of_each(docs: DataFrame, limit: int = LIMIT, id_col: str = "doc_id", tex
 
     Rows are told apart by their place, so repeated rows and repeated ids are one row each.
     """
-    row = "_row"
+    row = free_name(docs, "_row")
     rows = staged(docs.withColumn(row, F.monotonically_increasing_id()), "simhash-docs")
-    found = near_duplicates(rows.select(F.col(row).alias("doc_id"), F.col(text_col).alias("text")), limit).select(F.col("doc_id").alias(row), "component_id")
-    ranked = rows.select(row, F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("i"), F.col(row).alias("r")).alias("rank"))
-    kept = ranked.join(found, row).groupBy("component_id").agg(F.min_by(row, "rank").alias(row))
+    found = near_duplicates(rows.select(F.col(row).alias("doc_id"), F.col(text_col).alias("text")), limit).select(F.col("doc_id").alias("row"), "component_id")
+    ranked = rows.select(F.col(row).alias("row"), F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("i"), F.col(row).alias("r")).alias("rank"))
+    kept = ranked.join(found, "row").groupBy("component_id").agg(F.min_by("row", "rank").alias(row))
     return rows.join(kept.select(row), row, "left_semi").select(*docs.columns)

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plenum.llm.common import staged, text_of
+from plenum.llm.common import bound_batches, staged, text_of
 
 BITS = 20
 ORDERS = (4, 5, 6)
@@ -156,6 +156,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
 
 def score_documents(docs: DataFrame, model: Model, out: str = "toxic_score", text_col: str = "text") -> DataFrame:
     """``docs`` with a column ``out`` of scores from 0 to 1 added; all other columns pass through."""
+    bound_batches(docs.sparkSession)
     weights, bias = model.weights, model.bias
     names = np.flatnonzero(weights)
     small, values = names.astype("<i4"), weights[names]
