@@ -11,14 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plenum.llm import decontaminate, packing, pii, simhash, toxicity
-from plenum.llm.common import staged, table
+from plenum.llm.common import discard, free_name, staged, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier scores at the threshold or above go."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.score_documents(docs, model, "_toxic_score")
-    return scored.where(F.col("_toxic_score") < toxicity.THRESHOLD).select(*docs.columns)
+    score = free_name(docs, "toxic_score")
+    return toxicity.score_documents(docs, model, score).where(F.col(score) < toxicity.THRESHOLD).drop(score)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,10 +28,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a hit of a benchmark window go. Rows are told apart by place, not by id."""
-    rows = staged(docs.withColumn("_row", F.monotonically_increasing_id()), "pipeline-rows")
-    judged = decontaminate.decontaminate(rows.select("_row", "text"), table(spark, sf_dir, "benchmark"), id_col="_row")
-    clean = judged.where("NOT contaminated").select("_row")
-    return rows.join(clean, "_row", "left_semi").select(*docs.columns)
+    row = free_name(docs, "row")
+    rows = staged(docs.withColumn(row, F.monotonically_increasing_id()), "pipeline-rows")
+    judged = decontaminate.decontaminate(rows.select(F.col(row).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    hit = judged.where("contaminated").select(F.col("doc_id").alias(row))
+    return rows.join(hit, row, "left_anti").select(*docs.columns)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,7 +60,10 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if before is not None:
+            discard(before)
+        before = docs
     return docs
