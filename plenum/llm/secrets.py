@@ -13,11 +13,12 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache, partial
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from plenum.llm.common import text_of
+from plenum.llm.common import bound_batches, text_of
 
 LETTERS, DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", "0123456789"
 
@@ -294,6 +295,9 @@ class Scanner:
                 s = one.state()
                 end = build(one, Parser(rule.pattern, rule.fold).alternatives(), s)
                 self.heads[k] = determinise(one, s, {end: 0}, anchored=True)
+        self._link()
+
+    def _link(self) -> None:
         # A state is the list of its successors, so a step is one index; slot 256 has its rules.
         # A rule is reported where its match first ends, not again while that match grows.
         states = [[None] * 257 for _ in self.scan.next]
@@ -302,6 +306,13 @@ class Scanner:
             state[256] = sorted(ends) or None
         self.start = states[0]
 
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in vars(self).items() if k != "start"}
+
+    def __setstate__(self, state: dict) -> None:
+        vars(self).update(state)
+        self._link()
+
     @staticmethod
     def _longest(dfa: Dfa, data: bytes, at: int, step: int, stop: int) -> int:
         """Furthest position from ``at`` (moving by ``step``) where ``dfa`` accepts; -1 if none."""
@@ -356,8 +367,13 @@ def to_points(data: bytes, spans: list[tuple[int, int, int]]) -> list[tuple[int,
     return [(points[a], points[b], k) for a, b, k in spans]
 
 
-def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    scanner = Scanner()
+@lru_cache(maxsize=1)
+def default_scanner() -> Scanner:
+    """Compiled once, on the driver; tasks get its transition tables."""
+    return Scanner()
+
+
+def _digest(scanner: Scanner, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     base = len(BASE)
     for batch in batches:
         counts, hashes, spans = [[] for _ in range(base)], [], []
@@ -382,5 +398,6 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     not read. The scan holds one text at a time and takes time in proportion to its length.
     """
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(docs, text_col).cast("binary").alias("t"))
-    out = rows.mapInArrow(_digest, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
+    bound_batches(docs.sparkSession)
+    out = rows.mapInArrow(partial(_digest, default_scanner()), "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
     return out.withColumnRenamed("doc_id", id_col)
