@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+import pyarrow.parquet as pq
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -29,7 +30,7 @@ def test_base_spans_equal_plain_patterns(text):
 
 
 def brute(model, n, segments):
-    scores = {(i, j): s for (i, j, _), s in zip(segments, pii._scores(model, segments))}
+    scores = {(i, j): s for (i, j, *_), s in zip(segments, pii._scores(model, segments))}
 
     def go(i, y):
         if i == n:
@@ -77,6 +78,29 @@ def test_whole_table(spark, sf):
         assert [row.n_email, row.n_ip, row.n_card, row.n_phone] == [sum(s[1] == k for s in want) for k in range(4)]
 
 
+def test_added_spans_on_real_text():
+    """All documents of a table: no added span lies in a run of letters and digits, and all have their kind's form."""
+    model, added = pii.train(), []
+    for text in pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"])["text"].to_pylist():
+        base, every = pii.find(text or "", model)
+        for a, k, b in set(every) - set(base):
+            part, digits = text[a:b], re.sub("[^0-9]", "", text[a:b])
+            assert not text[a - 1 : a].isalnum() and not text[b : b + 1].isalnum()
+            assert k != 0 or "@" in part
+            assert k == 0 or k == 4 or not re.search("[A-Za-z]", part)
+            assert k != 2 or pii.luhn(digits)
+            added.append((pii.KINDS[k], part))
+    print(added)
+    assert 0 < len(added) < 20
+
+
+def test_hexadecimal_secrets_are_left_alone():
+    model, rng = pii.train(), random.Random(12)
+    for _ in range(200):
+        secret = "".join(rng.choice("0123456789abcdef") for _ in range(rng.choice([32, 40, 64])))
+        assert pii.find(f"token = {secret} and so on", model) == ([], [])
+
+
 def test_nulls_empties_long_and_redaction(frame):
     rows = [(1, None), (2, ""), (3, "x a@b.co y"), (3, "x a@b.co y"), (4, "9" * 50_000 + "a" * 50_000), (None, "q")]
     df = frame(rows, ["spans", "n_ip", "t"])
