@@ -6,7 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plenum.operators import matrix
+from plenum.scratch import staged
 
+#: Links to notebooks, and what replaces them.
+LINK = r"\[([^\]]*)\]\(([^)]*)\.ipynb\)"
+LINK_TO = "[$1]($2.html)"
 
 def response_long(spark: SparkSession, d: str) -> DataFrame:
     """One response per member and event; the last record wins, -1 over 0 over 1 inside a record."""
@@ -25,7 +29,11 @@ def response_long(spark: SparkSession, d: str) -> DataFrame:
 
 def temporal_slice(spark: SparkSession, d: str) -> DataFrame:
     """Members with more than a tenth of the events inside an open time range."""
-    part = response_long(spark, d).where("event > '1996-06' and event < '1998-07'")
+    return _active(spark, d, response_long(spark, d))
+
+
+def _active(spark: SparkSession, d: str, long: DataFrame) -> DataFrame:
+    part = long.where("event > '1996-06' and event < '1998-07'")
     events = part.agg(F.countDistinct("event").alias("n"))
     counts = part.groupBy("member").agg(F.count("value").alias("votes_count"))
     kept = counts.crossJoin(F.broadcast(events)).where("votes_count > n * 0.1")  # one row of totals
@@ -104,8 +112,8 @@ ORACLE_SQL |= {
 
 def _slice(spark: SparkSession, d: str) -> DataFrame:
     """Responses of the members and events that the slice keeps."""
-    part = response_long(spark, d).where("event > '1996-06' and event < '1998-07'")
-    return part.join(temporal_slice(spark, d).select("member"), "member", "left_semi")
+    long = staged(response_long(spark, d).where("event > '1996-06' and event < '1998-07'"), "responses")
+    return long.join(_active(spark, d, long).select("member"), "member", "left_semi")
 
 
 def response_matrix(spark: SparkSession, d: str) -> DataFrame:
@@ -118,7 +126,7 @@ def response_matrix(spark: SparkSession, d: str) -> DataFrame:
 
 def response_matrix_full(spark: SparkSession, d: str) -> DataFrame:
     """Every member, one column per event of the table, null where there is no response."""
-    long = response_long(spark, d)
+    long = staged(response_long(spark, d), "responses")
     wide = matrix.pivot(long, matrix.all_events(long))
     customer = spark.read.parquet(f"{d}/customer.parquet").select(F.col("c_custkey").alias("member"), F.col("c_mktsegment").alias("group"))
     return customer.join(wide, "member", "left")
@@ -140,7 +148,7 @@ def group_traces(spark: SparkSession, d: str) -> DataFrame:
 
 def event_covariance(spark: SparkSession, d: str) -> DataFrame:
     """Sample covariance of every two events over the slice, missing responses as 0."""
-    part = _slice(spark, d)
+    part = staged(_slice(spark, d), "slice")
     events = matrix.events_of(part)
     _, cov = matrix.covariance(matrix.imputed(part, events), len(events))
     rows = [(a, b, round(float(cov[i, j]), 6)) for i, a in enumerate(events) for j, b in enumerate(events)]
@@ -148,9 +156,9 @@ def event_covariance(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _components(spark: SparkSession, d: str):
-    part = _slice(spark, d)
+    part = staged(_slice(spark, d), "slice")
     events = matrix.events_of(part)
-    dense = matrix.imputed(part, events)
+    dense = staged(matrix.imputed(part, events), "dense")
     mean, cov = matrix.covariance(dense, len(events))
     loadings, ratio = matrix.components(cov, 0.6)
     return events, dense, mean, loadings, ratio
@@ -175,7 +183,7 @@ def event_importance(spark: SparkSession, d: str) -> DataFrame:
 def link_rewrite(spark: SparkSession, d: str) -> DataFrame:
     """Notebook links to page links, in texts built from the nations' names."""
     cells = spark.read.parquet(f"{d}/nation.parquet").select("n_nationkey", F.concat(F.lit("see ["), "n_name", F.lit("](a.ipynb) or [b](b.html)")).alias("source"))
-    return cells.select("n_nationkey", F.regexp_replace("source", r"\[([^\]]*)\]\(([^)]*)\.ipynb\)", "[$1]($2.html)").alias("source"))
+    return cells.select("n_nationkey", F.regexp_replace("source", LINK, LINK_TO).alias("source"))
 
 
 SLICE = f"""p AS (SELECT * FROM ({LONG}) WHERE event > '1996-06' AND event < '1998-07'),

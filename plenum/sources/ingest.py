@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plenum.operators.slices import last_records
+
 MEMBER = """UserID bigint, Name struct<family:string,sur:string>, active boolean,
 Groups array<struct<groupid:string,end:string,country:string>>, Constituencies array<struct<party:string,end:string>>,
 Gender string, Birth struct<date:string>, Photo string, Mail string, meta struct<url:string>"""
@@ -14,13 +16,19 @@ VOTE = f"voteid string, title string, issue_type string, url string, report stri
 ARMS = [("Abstain", 0, 0), ("For", 1, 1), ("Against", -1, 2)]
 
 
+def _ordered(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Records with ``idx``, their place: by name of file, then inside it (a file of one array is one split)."""
+    rows = spark.read.schema(schema).json(path, multiLine=True)
+    return rows.withColumn("idx", F.struct(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("place")))
+
+
 def read_members(spark: SparkSession, path: str) -> DataFrame:
     """A JSON array or JSON lines of members; fields that are missing are null."""
-    return spark.read.schema(MEMBER).json(path, multiLine=True)
+    return _ordered(spark, path, MEMBER)
 
 
 def read_votes(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(VOTE).json(path, multiLine=True).withColumn("idx", F.monotonically_increasing_id())
+    return _ordered(spark, path, VOTE)
 
 
 def epoch_ms(text: Column) -> Column:
@@ -40,7 +48,8 @@ def latest(items: Column) -> Column:
 
 
 def member_summary(raw: DataFrame) -> DataFrame:
-    """One flat row per member; the last record of an id wins where ``idx`` is given."""
+    """One flat row per member; the last record of an id wins. Records without an id are one member."""
+    raw = last_records(raw, "UserID", ["idx"])
     group, seat = latest(F.col("Groups")), latest(F.col("Constituencies"))
     return raw.select(
         F.col("UserID").cast("string").alias("mep_id"),

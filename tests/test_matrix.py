@@ -27,6 +27,40 @@ def test_importances(spark, sf):
     assert len(got) == 20 and got.importance.is_monotonic_decreasing and list(got["rank"]) == list(range(20))
 
 
+def test_wide_matrix_by_members_equals_svd(spark):
+    rng = np.random.default_rng(4)
+    x = rng.integers(-1, 2, (14, 60)).astype(float)
+    long = spark.createDataFrame([(i, f"e{j:02d}", int(x[i, j])) for i in range(14) for j in range(60) if x[i, j] or rng.random() < 0.5], "member long, event string, value int")
+    scores, loadings, variances = matrix.member_components(long, 0.6)
+    c = x - x.mean(axis=0)
+    u, s, v = np.linalg.svd(c, full_matrices=False)
+    y = scores.orderBy("member").toPandas().drop(columns="member").to_numpy()
+    w = loadings.orderBy("event").toPandas().drop(columns="event").to_numpy()
+    k = y.shape[1]
+    assert np.cumsum(s**2)[k - 1] > 0.6 * (s**2).sum() >= np.cumsum(s**2)[k - 2]
+    assert np.allclose(variances, (s**2 / 13)[:k])
+    assert np.allclose(np.abs(y), np.abs(c @ v[:k].T), atol=1e-8) and np.allclose(np.abs(w), np.abs(v[:k].T), atol=1e-8)
+    assert np.allclose(y @ w.T, c @ v[:k].T @ v[:k], atol=1e-8) and (w[np.abs(w).argmax(axis=0), range(k)] > 0).all()
+    empty = spark.createDataFrame([], "member long, event string, value int")
+    assert matrix.member_components(empty, 0.6)[0].count() == 0
+
+
+def test_more_events_than_the_covariance_takes(spark):
+    rows = spark.range(300 * 3000).selectExpr("id div 3000 AS member", "'e' || (id % 3000) AS event", "cast(pmod(hash(id), 3) - 1 AS int) AS value")
+    scores, loadings, variances = matrix.member_components(rows, 400)
+    total = rows.groupBy("event").agg({"value": "var_samp"}).agg({"var_samp(value)": "sum"}).first()[0]
+    assert scores.count() == 300 and loadings.count() == 3000 and abs(variances.sum() / total - 1) < 1e-9
+
+
+def test_trees_find_what_the_target_is_made_of(spark):
+    x = np.random.default_rng(0).integers(-1, 2, (300, 6)).astype(float)
+    dense = spark.createDataFrame([(k, r.tolist()) for k, r in enumerate(x)], "member long, x array<double>")
+    target = spark.createDataFrame([(k, float(3 * r[4] + r[1])) for k, r in enumerate(x)], "member long, PCA0 double")
+    got = {r.event: (r.importance, r.spread) for r in matrix.tree_importances(dense, target, list("abcdef"), trees=12).collect()}
+    assert sorted(got, key=lambda e: -got[e][0])[:2] == ["e", "b"] and abs(sum(v[0] for v in got.values()) - 1) < 1e-9
+    assert got["e"][0] > 0.6 and all(0 <= v[1] < 0.5 for v in got.values())
+
+
 def test_no_rows(spark):
     dense = spark.createDataFrame([], "member long, x array<double>")
     mean, cov = matrix.covariance(dense, 3)
@@ -46,6 +80,14 @@ def test_nested_members(spark, tmp_path):
     assert got["2"].current_group is None and got["3"].current_group is None and got["3"].name is None
 
 
+def test_members_are_unique_by_last_record_over_files(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps([{"UserID": 1, "Gender": "x"}, {"UserID": 1, "Gender": "y"}, {"UserID": 2, "Gender": "p"}]))
+    (tmp_path / "b.json").write_text(json.dumps([{"UserID": 2, "Gender": "q"}]))
+    (tmp_path / "c.json").write_text("[]")
+    got = ingest.member_summary(ingest.read_members(spark, str(tmp_path)))
+    assert {r.mep_id: r.gender for r in got.collect()} == {"1": "y", "2": "q"} and got.count() == 2
+
+
 def test_nested_votes(spark, tmp_path):
     arm = lambda *ids: {"groups": [{"votes": [{"ep_id": i} for i in ids]}]}
     votes = [
