@@ -2,48 +2,13 @@
 
 from __future__ import annotations
 
-import contextlib
 import re
-import tempfile
 import uuid
-from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-
-def scratch_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (``spark.checkpoint.dir``).
-
-    The setting is read from the session. Where it is unset a temporary folder is made and set
-    if the session runs on one machine; on a cluster that is an error.
-    """
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not at:
-        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-        at = "file://" + tempfile.mkdtemp(prefix="plenum-")
-        spark.conf.set("spark.checkpoint.dir", at)
-        spark.sparkContext.setCheckpointDir(at)
-    return at.rstrip("/")
-
-
-@contextlib.contextmanager
-def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
-    """Session settings that hold inside the block."""
-    before = {k: spark.conf.get(k, None) for k in values}
-    for k, v in values.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-
-BATCH_BYTES = 8 << 20
-#: While a scratch table is written: its shuffle files go when it is done, and Python gets batches of bounded bytes.
-WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES)}
+from plenum.scratch import BATCH_BYTES, WRITING, discard, scratch_dir, settings, staged  # noqa: F401
 
 
 def bound_batches(spark: SparkSession) -> None:
@@ -67,19 +32,6 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet in the shared folder and read it back.
-
-    Cuts the lineage with replicated storage: a lost executor costs no recomputation, and a
-    frame that is read twice is computed once.
-    """
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/plenum/{name}-{uuid.uuid4().hex}"
-    with settings(spark, WRITING):
-        df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
     """Write ``df`` once in the shared folder, dealt by ``key``; joins on ``key`` then move only the other side.
 
@@ -96,14 +48,6 @@ def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
     return out
 
 
-def discard(*frames: DataFrame) -> None:
-    """Delete the files of staged frames that nothing reads any more."""
-    for df in frames:
-        for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
-            at = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-
-
 def text_of(df: DataFrame, column: str = "text") -> Column:
     """The text column, null as the empty string."""
     return F.coalesce(df[column].cast("string"), F.lit(""))
