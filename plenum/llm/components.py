@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plenum.llm.common import staged
+from plenum.llm.common import discard, staged
 
 MAX_ROUNDS = 60
 
@@ -47,12 +47,14 @@ def connected(edges: DataFrame) -> DataFrame:
     for _ in range(MAX_ROUNDS):
         if not seen[0]:
             break
+        # minima are written before they are joined: a join of two tables can split a hot node, one of an aggregate cannot
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        down = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        current = staged(least.select("u", F.col("m").alias("v")).unionByName(down).distinct(), "cc")
+        least = staged(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "cc-least")
+        large = staged(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "cc-large")
+        low = staged(large.groupBy("u").agg(F.min("v").alias("m")), "cc-low")
+        down = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        before, current = current, staged(low.select("u", F.col("m").alias("v")).unionByName(down).distinct(), "cc")
+        discard(before, least, large, low)
         now = mark(current)
         if now == seen:
             break

@@ -14,6 +14,7 @@ what it finds into trees by union-find and emits one edge per node it touched.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +30,10 @@ SHINGLE = 4
 WIDTHS = (13, 13, 13, 13, 12)
 SHIFTS = (0, 13, 26, 39, 52)
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
-#: Groups up to this size are compared by shifted copies of the sorted rows, larger ones by search.
+#: Groups up to this size are compared by shifted copies of the sorted rows, larger ones by further parts.
 SMALL = 48
+#: Members of a large group that are compared with all the others first, which settles most of a dense one.
+STEPS = 64
 #: Hash values whose bits are counted at a time.
 BLOCK = 1 << 14
 
@@ -103,6 +106,57 @@ def within(a: np.ndarray, b: np.ndarray, start: np.ndarray, limit: int) -> np.nd
     return ok
 
 
+def _grow(rest: np.ndarray, limit: int, steps: int | None = None) -> tuple[list, np.ndarray]:
+    """Trees over ``rest``; what has joined is compared with what has not, and no more with each other.
+
+    After ``steps`` comparisons it stops; then all that may still have links is returned as well.
+    """
+    out, queue = [], []
+    while len(rest) and steps != 0:
+        if not queue:
+            queue, rest = [rest[0]], rest[1:]
+        x = queue.pop()
+        near = np.bitwise_count(rest ^ x) <= limit
+        if near.any():
+            found = rest[near]
+            out.append((np.full(len(found), x), found))
+            queue.extend(found)
+            rest = rest[~near]
+        steps = None if steps is None else steps - 1
+    return out, np.concatenate([rest, np.array(queue, np.uint64)]) if len(rest) else rest
+
+
+def large_links(fps: np.ndarray, limit: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Links among the many distinct fingerprints of one key, without comparing all of them.
+
+    The bits in which they differ at all are dealt to ``limit + 2`` parts. Two that differ in at
+    most ``limit`` bits agree in two parts, so only those that agree in some two are compared.
+    """
+    out, fps = _grow(fps, limit, STEPS)
+    if not len(fps):
+        return out
+    vary = np.bitwise_or.reduce(fps ^ fps[0])
+    bits = np.array([1 << b for b in range(64) if int(vary) >> b & 1], np.uint64)
+    parts = [np.bitwise_or.reduce(x) if len(x) else np.uint64(0) for x in np.array_split(bits, limit + 2)]
+    for one, two in combinations(parts, 2):
+        key = fps & (one | two)
+        order = np.argsort(key)
+        key, sorted_fps = key[order], fps[order]
+        new = np.flatnonzero(np.diff(key, prepend=key[:1] ^ np.uint64(1)) != 0)
+        sizes = np.diff(np.append(new, len(key)))
+        few = np.repeat(sizes <= SMALL, sizes)
+        k, f = key[few], sorted_fps[few]
+        for gap in range(1, min(SMALL, int(sizes.max(initial=0)))):
+            same = np.flatnonzero(k[gap:] == k[:-gap])
+            if not len(same):
+                break
+            same = same[np.bitwise_count(f[same] ^ f[same + gap]) <= limit]
+            out.append((f[same], f[same + gap]))
+        for at, size in zip(new[sizes > SMALL], sizes[sizes > SMALL]):
+            out += _grow(sorted_fps[at : at + size], limit)[0]
+    return out
+
+
 def links_in(keys: np.ndarray, fps: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
     """Links among rows of equal key (sorted by key): enough of them to connect all that link."""
     out_a, out_b = [], []
@@ -118,18 +172,9 @@ def links_in(keys: np.ndarray, fps: np.ndarray, limit: int) -> tuple[np.ndarray,
         out_a.append(f[same[ok]])
         out_b.append(f[same[ok] + gap])
     for at, size in zip(new[sizes > SMALL], sizes[sizes > SMALL]):
-        rest = np.unique(fps[at : at + size])
-        while len(rest):  # grow one tree at a time; what has joined is not compared again
-            queue, rest = [rest[0]], rest[1:]
-            while queue and len(rest):
-                x = queue.pop()
-                near = np.bitwise_count(rest ^ x) <= limit
-                if near.any():
-                    found = rest[near]
-                    out_a.append(np.full(len(found), x))
-                    out_b.append(found)
-                    queue.extend(found)
-                    rest = rest[~near]
+        for a, b in large_links(np.unique(fps[at : at + size]), limit):
+            out_a.append(a)
+            out_b.append(b)
     if not out_a:
         return np.empty(0, np.uint64), np.empty(0, np.uint64)
     return np.concatenate(out_a), np.concatenate(out_b)

@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pandas as pd
@@ -82,3 +83,24 @@ def test_components_of_paths_and_stars(spark):
     got = {r.node: r.root for r in components.connected(edges).collect()}
     assert all(got[i] == 0 for i in range(41)) and all(got[i] == 100 for i in range(100, 140))
     assert got[300] == -5 and 200 not in got
+
+
+def test_large_group_of_fingerprints_without_links():
+    rng = np.random.default_rng(5)
+    fps = np.unique(rng.integers(0, 1 << 38, 80_000, dtype=np.uint64))  # one key: the other bits are equal
+    near = fps[:200] ^ np.uint64(0b1011)
+    began = time.process_time()
+    found = simhash.large_links(np.unique(np.concatenate([fps, near])), 4)
+    took = time.process_time() - began
+    pairs = {frozenset(map(int, p)) for a, b in found for p in zip(a, b)}
+    node, root = components.trees(*(np.concatenate(x) for x in zip(*found)))
+    of = dict(zip(node.tolist(), root.tolist()))
+    assert all(of.get(a, a) == of.get(b, b) for a, b in zip(fps[:200].tolist(), near.tolist()))
+    assert all(bin(a ^ b).count("1") <= 4 for a, b in map(tuple, pairs)) and took < 20
+
+
+def test_very_long_text(frame):
+    rng = random.Random(8)
+    text = " ".join("".join(rng.choice("abcdef") for _ in range(5)) for _ in range(40_000))
+    got = simhash.near_duplicates(frame([(1, text), (2, text + " \n")])).toPandas()
+    assert set(got.component_id) == {1} and set(got.fingerprint) == {f"{slow_fingerprint(text.encode()):016x}"}
