@@ -42,20 +42,27 @@ def one_line(value: str) -> str:
 
 def inflate(chunks: Iterable[bytes]) -> Iterator[bytes]:
     """Inflated pieces of bounded size, over any number of members."""
-    engine = zlib.decompressobj(31)
+    engine, begun = zlib.decompressobj(31), False
     for chunk in chunks:
         while chunk:
+            if not begun:  # padding between and after members
+                chunk = chunk.lstrip(b"\0")
+                if not chunk:
+                    break
+                begun = True
             out = engine.decompress(chunk, STEP)
             if out:
                 yield out
             if engine.eof:
-                chunk = engine.unused_data
+                chunk, begun = engine.unused_data, False
                 engine = zlib.decompressobj(31)
             else:
                 chunk = engine.unconsumed_tail
-    tail = engine.flush()
-    if tail:
-        yield tail
+    while begun and not engine.eof:  # what is held back; a member's last bytes are its checksum
+        out = engine.decompress(b"", STEP)
+        if not out:
+            raise ValueError("the stream ends inside a member")
+        yield out
 
 
 def split_records(pieces: Iterable[bytes]) -> Iterator[bytes]:
@@ -169,7 +176,8 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if kind == "response" and digest(payload) != stated:
                     raise ValueError("payload and digest differ")
                 refers = _number(headers["WARC-Refers-To"]) if kind == "revisit" else None
-                rows.append((_number(headers["WARC-Record-ID"]), int(headers["X-Payload-Length"]), stated, kind, refers))
+                size = int(headers["X-Payload-Length"]) if kind == "revisit" else len(payload)  # a revisit has no payload
+                rows.append((_number(headers["WARC-Record-ID"]), size, stated, kind, refers))
             columns = zip(*rows)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()))], ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
 
@@ -199,7 +207,8 @@ def round_trip(pages: DataFrame, least: int = 0, id_col: str = "page_id", url_co
     """Write archives, normalise them, and read every record back through the index.
 
     Returns ``id_col, payload_bytes, payload_digest, record_type, refers_to``, one row per page.
-    A null html is an empty payload; an empty table gives no rows; repeated rows are records of
+    A null html is an empty payload; a payload of any length is one record, an archive a cell of
+    at most 2 GB; an empty table gives no rows; repeated rows are records of
     their own; columns beyond those named are not read.
     """
     stored = staged(archives(pages, least, id_col, url_col, html_col), "warc")

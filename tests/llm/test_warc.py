@@ -1,6 +1,9 @@
 import base64
 import gzip
 import hashlib
+import zlib
+
+import pytest
 
 from plenum.llm import warc
 
@@ -42,3 +45,14 @@ def test_normaliser_makes_members_that_read_alone(tmp_path):
     data = (tmp_path / "b.gz").read_bytes()
     spans = [tuple(map(int, x.split())) for x in (tmp_path / "b.idx").read_text().splitlines()]
     assert [gzip.decompress(data[a : a + n]) for a, n in spans] == records
+
+
+def test_streams_that_are_cut_or_padded():
+    one = gzip.compress(warc.record({"WARC-Type": "response"}, b"x" * 300_000))
+    for cut in (1, 4, 8, 12, len(one) // 2):
+        with pytest.raises(ValueError):
+            list(warc.normalise([one + one[:-cut]]))
+    assert len(list(warc.normalise([one + b"\0" * 700, b"\0" * 9 + one, b"\0"]))) == 2
+    assert [len(x) for x in warc.normalise(one[k : k + 7] for k in range(0, len(one), 7))] == [2]
+    with pytest.raises(zlib.error):
+        list(warc.normalise([one[:-6] + b"\1" + one[-5:]]))  # another checksum
