@@ -2,7 +2,8 @@
 
 Four rule statistics of a text are compared with cutoffs chosen per stratum (language). On
 labelled rows, every cutoff of a rule's grid is a hypothesis "a good document is rejected with
-a probability above ``alpha``". Its exact binomial p-value comes from the good documents that
+a probability above the rule's part of ``alpha``"; the parts of the rules add up to ``alpha``,
+which so bounds what all rules together reject in a stratum. Its exact binomial p-value comes from the good documents that
 it rejects. Grids are tested from the mildest cutoff on (fixed sequence), and rules and strata
 share the error level ``delta`` by a Bonferroni correction; the strictest cutoff reached is
 used. Where no cutoff can be certified, the rule rejects nothing in that stratum.
@@ -23,8 +24,8 @@ from plenum.llm.common import staged, text_of
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SYMBOL = re.compile(r"[#*$%&|<>]")
-#: Good documents that one rule may reject, and the chance that any of the bounds fails.
-ALPHA, DELTA = 0.02, 0.05
+#: Share of a stratum's good documents that the rules together may reject, and the chance that any bound fails.
+ALPHA, DELTA = 0.05, 0.05
 #: Strata with cutoffs up to which these are broadcast; of more, each is dealt to ``SALTS`` places.
 MOST, SALTS = 50_000, 16
 #: Rules: numerator, denominator, and the grid of cutoffs in thousandths, mildest first. Fixed values.
@@ -107,7 +108,7 @@ def cutoffs(measured: DataFrame, labels: DataFrame, stratum: str, alpha: float,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.to_pylist()
-            best = [pa.array([certified({c: row[f"{rule}_{c}"] for c in grid}, row["good"], grid, alpha, level) for row in rows], pa.int32()) for rule, (_, _, grid) in RULES.items()]
+            best = [pa.array([certified({c: row[f"{rule}_{c}"] for c in grid}, row["good"], grid, alpha / len(RULES), level) for row in rows], pa.int32()) for rule, (_, _, grid) in RULES.items()]
             yield pa.RecordBatch.from_arrays([batch.column(0), *best], ["_stratum", *(f"_{r}" for r in RULES)])
 
     out = found.mapInArrow(run, ", ".join(["_stratum string", *(f"_{r} int" for r in RULES)]))
