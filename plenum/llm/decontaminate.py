@@ -35,13 +35,28 @@ def _run_hash(words: Column, start: Column, length: int, seed: int) -> Column:
     return F.xxhash64(F.lit(seed), F.slice(words, start + 1, length))
 
 
-def _hasher(length: int):
-    return lambda i: _run_hash(F.col("w"), i, length, length)
+def _shifted(values: Column, by: int) -> Column:
+    return F.slice(values, by + 1, F.greatest(F.size(values) - by, F.lit(0)))
 
 
-def _winnowed(hashes: Column, span: int) -> Column:
-    n = F.size(hashes)
-    return F.array_distinct(F.transform(_starts(n, span), lambda i: F.array_min(F.slice(hashes, i + 1, span))))
+def _runs(df: DataFrame, column: str, length: int, joined, out: str) -> DataFrame:
+    """``out``: ``joined`` over every run of ``length`` values of ``column``, put together from runs half as long.
+
+    Each step is a column of its own, as an expression that is used twice is computed twice.
+    """
+
+    def both(a: str, b: str, by: int) -> Column:
+        return F.slice(F.zip_with(a, _shifted(F.col(b), by), joined), 1, F.greatest(F.size(b) - by, F.lit(0)))
+
+    made, done = {1: column}, 1
+    while 2 * done <= length:
+        df = df.withColumn(f"{out}_{2 * done}", both(made[done], made[done], done))
+        made[2 * done], done = f"{out}_{2 * done}", 2 * done
+    at = made[done]
+    for half in sorted((k for k in made if k < done and length & k), reverse=True):
+        df = df.withColumn(f"{out}_{done + half}", both(at, made[half], done))
+        at, done = f"{out}_{done + half}", done + half
+    return df.withColumn(out, F.col(at))
 
 
 def _keys(words: Column, n: Column, length: int) -> Column:
@@ -52,12 +67,21 @@ def _keys(words: Column, n: Column, length: int) -> Column:
     )
 
 
-def _fingerprints(rows: DataFrame, short: list[int], window: int, gram: int) -> DataFrame:
-    """``rid, fp``: winnowed fingerprints, and whole hashes for each short length."""
-    hashed = rows.select("rid", "w", "n_words", F.transform(_starts(F.col("n_words"), gram), lambda i: _run_hash(F.col("w"), i, gram, 0)).alias("h"))
-    parts = [_winnowed(F.col("h"), window - gram + 1)]
-    parts += [F.array_distinct(F.transform(_starts(F.col("n_words"), m), _hasher(m))) for m in short]
-    return hashed.select("rid", F.explode(F.array_distinct(F.flatten(F.array(*parts))) if short else parts[0]).alias("fp"))
+def _fingerprints(rows: DataFrame, short: list[int], window: int, gram: int, own: bool) -> DataFrame:
+    """``rid, fp``: winnowed fingerprints, and of each short length the hash of every run.
+
+    ``own``: the rows are items; one that is shorter than a window has the hash of itself alone.
+    """
+    # each word's text is hashed once; then hashes of two runs make that of the run they form
+    hashed = rows.select("rid", "n_words", F.transform("w", lambda w: F.xxhash64(w)).alias("l"))
+    joined = lambda a, b: F.xxhash64(a, b)
+    hashed = _runs(_runs(hashed, "l", gram, joined, "g"), "g", window - gram + 1, lambda a, b: F.least(a, b), "m")
+    parts = [F.when((F.col("n_words") >= window) | F.lit(not own), F.col("m"))]
+    for n in short:
+        hashed = _runs(hashed, "l", n, joined, f"s{n}")
+        parts.append(F.when((F.col("n_words") == n) | F.lit(not own), F.col(f"s{n}")))
+    found = F.array_distinct(F.flatten(F.array_compact(F.array(*parts))))
+    return hashed.select("rid", F.explode(found).alias("fp"))
 
 
 def _probe(big: DataFrame, small: DataFrame, keys: list[str], small_rows: int, how: str = "inner") -> DataFrame:
@@ -89,9 +113,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
     windows = of_item.select("length", "k1", "k2").distinct()
     n_windows = of_item.count()
 
-    own_prints = _fingerprints(items.where(F.col("n_words") >= window), [], window, gram).select("fp")
-    prints = own_prints.unionByName(of_item.where(F.col("length") < window).select(F.col("k1").alias("fp"))).distinct()
-    suspects = _probe(_fingerprints(rows, short, window, gram), prints, ["fp"], n_windows, "left_semi").select("rid").distinct()
+    prints = _fingerprints(items, short, window, gram, True).select("fp").distinct()
+    suspects = _probe(_fingerprints(rows, short, window, gram, False), prints, ["fp"], n_windows, "left_semi").select("rid").distinct()
     suspects = staged(suspects, "decon-suspects")
     few = suspects.count() <= BROADCAST_ROWS  # then the words of the others need not be moved
 
@@ -109,8 +132,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
         lambda a: a["n"],
     )
     hit_words = hits.groupBy("rid").agg(covered.alias("n_hit"))
-    named = _probe(hits.select("rid", "length", "k1", "k2").distinct(), of_item, ["length", "k1", "k2"], n_windows)
-    listed = named.groupBy("rid").agg(F.array_sort(F.collect_set("item_id")).alias("ids"))
+    # a window that many items share is one row with their ids, not a row for each
+    shared = of_item.groupBy("length", "k1", "k2").agg(F.collect_set("item_id").alias("ids"))
+    named = _probe(hits.select("rid", "length", "k1", "k2").distinct(), shared, ["length", "k1", "k2"], n_windows)
+    listed = named.groupBy("rid").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("ids")))).alias("ids"))
     none = F.array().cast("array<string>")
     out = rows.select("rid", "doc_id", "n_words").join(hit_words, "rid", "left").join(listed, "rid", "left")
     ids = F.coalesce("ids", none)
