@@ -36,3 +36,16 @@ def test_nulls_repeats_and_empty_tables(spark, sf, frame):
     for _, stage in corpus_pipeline.STAGES:
         left = stage(spark, left, sf)
     assert left.count() == 0
+
+
+def test_columns_of_any_name_and_very_long_texts_pass(spark, sf, frame):
+    long = "".join(f"word{k} of {k * k} things, " for k in range(60_000))
+    df = frame([(1, long), (2, "x"), (3, None)], ["_row", "row", "toxic_score", "_toxic_score", "component_id", "contaminated"])
+    left = df
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        left = stage(spark, left, sf)
+        assert left.columns == df.columns
+        assert {tuple(r)[5:] for r in left.collect()} == {("x",) * 6}
+    assert sorted(r.doc_id for r in left.collect()) == [1, 2] and len(left.where("doc_id = 1").first().text) > 1_000_000
+    packed = corpus_pipeline.STAGES[-1][1](spark, left, sf)
+    assert packed.where("doc_id = 1").count() > 50
