@@ -3,6 +3,12 @@
 Each stage takes ``(spark, docs, sf_dir)`` and works on all that the stage before it kept. The
 result is written as Parquet in the shared folder and read again, so a lost executor costs no
 earlier stage. All but the last return the columns of ``documents``.
+
+In every stage a null text counts as empty, and stays null where the row stays; empty texts are
+near duplicates of each other, and have no hit, no span and a score like any other text. Texts of
+any length are read whole. Repeated rows and ids are rows of their own; ties of near duplicates
+go to the least id, then to the first row. An empty table stays empty. Columns beyond those of
+``documents``, of any name, pass through all stages but the last.
 """
 
 from __future__ import annotations
