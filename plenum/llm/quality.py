@@ -139,3 +139,26 @@ def quality(docs: DataFrame, labels: DataFrame, stratum: str = "lang", alpha: fl
         rejected = rejected | _above(rule, F.col(f"_{rule}"))
     out = measured.withColumn("kept", ~F.col("base_failed") & ~rejected)
     return out.select(F.col("doc_id").alias(id_col), *COUNTS, "base_failed", "kept")
+
+
+_GRIDS = ", ".join(f"('{rule}', {list(grid)})" for rule, (_, _, grid) in RULES.items())
+_LONG = " UNION ALL ".join(f"SELECT rid, doc_id, lang, base_failed, '{rule}' AS rule, {top} AS top, {under} AS under FROM c" for rule, (top, under, _) in RULES.items())
+_PART = f"({ALPHA}::DOUBLE / {len(RULES)})"
+ORACLE_SQL = rf"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+g AS (SELECT rid, k, w[k + 1] || ' ' || w[k + 2] || ' ' || w[k + 3] AS x FROM (SELECT rid, w, unnest(range(len(w) - 2)) AS k FROM w WHERE len(w) > 2)),
+o AS (SELECT rid, k FROM (SELECT rid, k, count(*) OVER (PARTITION BY rid, x) AS n FROM g) WHERE n > 1),
+r AS (SELECT rid, count(DISTINCT k + i) AS n FROM o CROSS JOIN (VALUES (0), (1), (2)) v(i) GROUP BY rid),
+c AS (SELECT rid, doc_id, lang, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+  len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words, len(l) AS n_lines, length(regexp_replace(t, '[^\p{{Lu}}]', '', 'g')) AS n_capitals,
+  len(w) < 50 OR 100 * coalesce(n, 0) > 50 * len(w) AS base_failed FROM w LEFT JOIN r USING (rid)),
+x AS ({_LONG}),
+p AS (SELECT x.* FROM x SEMI JOIN (SELECT doc_id FROM labels WHERE quality = 1) USING (doc_id) WHERE NOT base_failed),
+grid AS (SELECT rule, unnest(range(len(cuts))) AS i, unnest(cuts) AS cutoff FROM (VALUES {_GRIDS}) v(rule, cuts)),
+s AS (SELECT lang, rule, i, cutoff, count(*) AS n, count(*) FILTER (1000 * top > cutoff * under) AS k FROM p JOIN grid USING (rule) GROUP BY ALL),
+f AS (SELECT *, CASE WHEN k >= n THEN 1 ELSE list_sum(list_transform(range(k + 1), lambda a: exp(lgamma(n + 1) - lgamma(a + 1) - lgamma(n - a + 1) + a * ln({_PART}) + (n - a) * ln(1 - {_PART})))) END
+  > {DELTA}::DOUBLE / ({len(RULES)} * (SELECT count(*) FROM (SELECT DISTINCT lang FROM p))) AS failed FROM s),
+u AS (SELECT *, coalesce(min(i) FILTER (failed) OVER (PARTITION BY lang, rule), 99) AS stop FROM f),
+q AS (SELECT lang, rule, arg_max(cutoff, i) AS cutoff FROM u WHERE i < stop GROUP BY ALL),
+z AS (SELECT DISTINCT rid FROM x JOIN q ON x.rule = q.rule AND x.lang IS NOT DISTINCT FROM q.lang WHERE 1000 * top > cutoff * under)
+SELECT doc_id, {", ".join(f"CAST({name} AS BIGINT) AS {name}" for name in COUNTS)}, base_failed, NOT base_failed AND rid NOT IN (SELECT rid FROM z) AS kept FROM c"""

@@ -11,7 +11,7 @@ from plenum.llm.common import table
 
 
 def op1_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffixes.removal(table(spark, sf_dir, "documents"))
+    return suffixes.removal(table(spark, sf_dir, "documents")).drop("spans")
 
 
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,4 +63,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_pii": op10_pii,
 }
 
-ORACLE_SQL: dict[str, str] = {"op7_decontaminate": decontaminate.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op1_suffixes": suffixes.ORACLE_SQL,
+    "op3_warc": warc.ORACLE_SQL,
+    "op5_quality": quality.ORACLE_SQL,
+    "op7_decontaminate": decontaminate.ORACLE_SQL,
+}

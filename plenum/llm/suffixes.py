@@ -625,3 +625,15 @@ def removal(docs: DataFrame, length: int = LENGTH, order: int = ORDER, id_col: s
     judged = whole.mapInArrow(_finish(length), "key binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<long>")
     result = rows.select("key", "doc_id").join(judged, "key").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans")
     return result.withColumnRenamed("doc_id", id_col)
+
+
+ORACLE_SQL = """WITH t AS (SELECT row_number() OVER () AS rid, doc_id, encode(coalesce(text, '')) AS x FROM documents),
+s AS (SELECT rid, x, unnest(range(octet_length(x) - 399)) AS p FROM t WHERE octet_length(x) >= 400),
+n AS (SELECT rid, p, count(*) OVER (PARTITION BY h) AS n FROM (SELECT rid, p, sha256(x[p + 1 : p + 400]) AS h FROM s)),
+b AS (SELECT rid, p, coalesce(p > lag(p) OVER (PARTITION BY rid ORDER BY p) + 400, true)::INT AS new FROM n WHERE n > 1),
+m AS (SELECT rid, min(p) AS first, max(p) + 400 AS last FROM (SELECT rid, p, sum(new) OVER (PARTITION BY rid ORDER BY p) AS run FROM b) GROUP BY rid, run),
+k AS (SELECT rid, sum(last - first) AS n_removed, count(*) AS n_spans, list(first ORDER BY first) AS f, list(last ORDER BY first) AS l FROM m GROUP BY rid),
+h AS (SELECT doc_id, octet_length(x) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, hex(x) AS y,
+  list_prepend(0, coalesce(l, [])) AS a, list_append(coalesce(f, []), octet_length(x)) AS z FROM t LEFT JOIN k USING (rid))
+SELECT doc_id, CAST(n_bytes AS BIGINT) AS n_bytes, CAST(n_removed AS BIGINT) AS n_removed, CAST(n_spans AS BIGINT) AS n_spans,
+sha256(unhex(array_to_string(list_transform(range(len(a)), lambda i: substr(y, 2 * a[i + 1] + 1, 2 * (z[i + 1] - a[i + 1]))), ''))) AS kept_sha256 FROM h"""

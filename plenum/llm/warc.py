@@ -214,3 +214,12 @@ def round_trip(pages: DataFrame, least: int = 0, id_col: str = "page_id", url_co
     stored = staged(archives(pages, least, id_col, url_col, html_col), "warc")
     by_record = staged(normalised(stored), "warc-records")
     return by_record.mapInArrow(_read, SCHEMA).withColumnRenamed("page_id", id_col)
+
+
+#: Five hexadecimal digits of the SHA-1 are four digits of base 32.
+ORACLE_SQL = """WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+g AS (SELECT h, max(page_id) AS first FROM p GROUP BY h),
+d AS (SELECT page_id, strlen(h) AS payload_bytes, sha1(h) AS x, coalesce(page_id < first, false) AS again, first FROM p JOIN g USING (h))
+SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  CAST((CAST('0x' || substr(x, (i // 4) * 5 + 1, 5) AS INTEGER) // CAST(power(32, 3 - i % 4) AS INTEGER)) % 32 + 1 AS INTEGER), 1)), '') AS payload_digest,
+CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN first END AS refers_to FROM d"""
