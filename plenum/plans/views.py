@@ -296,6 +296,14 @@ def score_table(spark: SparkSession, d: str) -> DataFrame:
     return kept.select("member", "group", "country", "votes_count").join(base.pca_scores(spark, d), "member")
 
 
+@query()
+def scatter_frames(spark: SparkSession, d: str, is3d: bool = True) -> DataFrame:
+    """Each group's points in the first two or three components, as arrays."""
+    scores = staged(score_table(spark, d), "scores")
+    axes = [c for c in ("PCA0", "PCA1", "PCA2")[: 3 if is3d else 2] if c in scores.columns]
+    return charts.traces(scores, "group", "member", axes)
+
+
 @query()
 def ranked_events(spark: SparkSession, d: str, trees: int = 100) -> DataFrame:
     """The 20 events that extremely random trees use most for the first component, with titles and the spread over trees."""

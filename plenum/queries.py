@@ -11,6 +11,8 @@ from plenum.scratch import staged
 #: Links to notebooks, and what replaces them.
 LINK = r"\[([^\]]*)\]\(([^)]*)\.ipynb\)"
 LINK_TO = "[$1]($2.html)"
+#: The slice of the registered queries: months strictly between, and the share of events that is not enough.
+START, END, THRESHOLD = "1996-06", "1998-07", 0.1
 
 def response_long(spark: SparkSession, d: str) -> DataFrame:
     """One response per member and event; the last record wins, -1 over 0 over 1 inside a record."""
@@ -27,16 +29,20 @@ def response_long(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("member", "event").agg(F.max_by("value", F.struct("idx", "prec")).alias("value"))
 
 
-def temporal_slice(spark: SparkSession, d: str) -> DataFrame:
-    """Members with more than a tenth of the events inside an open time range."""
-    return _active(spark, d, response_long(spark, d))
+def temporal_slice(spark: SparkSession, d: str, start: str = START, end: str = END, threshold: float = THRESHOLD) -> DataFrame:
+    """Members with more than ``threshold`` of the events inside an open time range, by month."""
+    return _active(spark, d, response_long(spark, d), start, end, threshold)
 
 
-def _active(spark: SparkSession, d: str, long: DataFrame) -> DataFrame:
-    part = long.where("event > '1996-06' and event < '1998-07'")
+def _between(long: DataFrame, start: str, end: str) -> DataFrame:
+    return long.where((F.col("event") > start) & (F.col("event") < end))
+
+
+def _active(spark: SparkSession, d: str, long: DataFrame, start: str, end: str, threshold: float) -> DataFrame:
+    part = _between(long, start, end)
     events = part.agg(F.countDistinct("event").alias("n"))
     counts = part.groupBy("member").agg(F.count("value").alias("votes_count"))
-    kept = counts.crossJoin(F.broadcast(events)).where("votes_count > n * 0.1")  # one row of totals
+    kept = counts.crossJoin(F.broadcast(events)).where(F.col("votes_count") > F.col("n") * F.lit(threshold))  # one row of totals
     customer = spark.read.parquet(f"{d}/customer.parquet")
     return kept.join(customer, kept.member == customer.c_custkey).select("member", F.col("c_mktsegment").alias("group"), "votes_count")
 
@@ -110,10 +116,10 @@ ORACLE_SQL |= {
 }
 
 
-def _slice(spark: SparkSession, d: str) -> DataFrame:
+def _slice(spark: SparkSession, d: str, start: str = START, end: str = END, threshold: float = THRESHOLD) -> DataFrame:
     """Responses of the members and events that the slice keeps."""
-    long = staged(response_long(spark, d).where("event > '1996-06' and event < '1998-07'"), "responses")
-    return long.join(_active(spark, d, long).select("member"), "member", "left_semi")
+    long = staged(_between(response_long(spark, d), start, end), "responses")
+    return long.join(_active(spark, d, long, start, end, threshold).select("member"), "member", "left_semi")
 
 
 def response_matrix(spark: SparkSession, d: str) -> DataFrame:
@@ -176,8 +182,11 @@ def pca_loadings(spark: SparkSession, d: str) -> DataFrame:
 
 
 def event_importance(spark: SparkSession, d: str) -> DataFrame:
+    """The 20 events that a forest of extremely random trees uses most for the first component."""
     events, dense, mean, loadings, _ = _components(spark, d)
-    return matrix.importances(dense, matrix.scores(dense, mean, loadings[:1]), events)
+    found = matrix.tree_importances(dense, matrix.scores(dense, mean, loadings[:1]), events)
+    top = [(k, r.event, r.importance) for k, r in enumerate(found.orderBy(F.desc("importance"), "event").limit(20).collect())]
+    return spark.createDataFrame(top, "rank int, event string, importance double")
 
 
 def link_rewrite(spark: SparkSession, d: str) -> DataFrame:

@@ -87,5 +87,8 @@ def test_legend_cycles_through_ten_colours(spark):
 def test_tables_without_sql(spark, sf):
     scores = views.score_table(spark, sf).toPandas()
     assert {"member", "group", "country", "votes_count", "PCA0"} <= set(scores.columns) and scores.country.notna().all()
+    flat, deep = (views.scatter_frames(spark, sf, is3d).collect() for is3d in (False, True))
+    assert sum(len(r.member) for r in flat) == sum(len(r.PCA2) for r in deep) == len(scores) and "PCA2" not in flat[0]
+    assert sorted(x for r in deep for x in r.PCA1) == sorted(scores.PCA1)
     ranked = views.ranked_events(spark, sf, trees=8).toPandas()
     assert list(ranked["rank"]) == list(range(20)) and ranked.importance.is_monotonic_decreasing and (ranked.spread >= 0).all() and ranked.title.str.startswith("Votes of").all()
