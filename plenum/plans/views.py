@@ -280,11 +280,13 @@ def pca_variance(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame([(round(float(((loadings @ cov) * loadings).sum()), 4),)], "variance double")
 
 
-@query(_TOTAL)
-def pca_variance_by_members(spark: SparkSession, d: str) -> DataFrame:
-    """The same from the products of members, the form for matrices with more events than members."""
-    _, loadings, variances = matrix.member_components(staged(base._slice(spark, d), "slice"), 10**6)
-    return loadings.agg(F.round(sum(F.sum(F.col(f"`{c}`") ** 2) * float(v) for c, v in zip(loadings.columns[1:], variances)), 4).alias("variance"))
+@query(f"""WITH {SLICE}, r AS (SELECT p.* FROM p SEMI JOIN kept USING (member)), n AS (SELECT count(DISTINCT event) AS n FROM r)
+SELECT round(sum((q - s * s / n) / (n - 1)), 3) AS variance FROM (SELECT member, sum(value)::DOUBLE AS s, sum(value * value)::DOUBLE AS q FROM r GROUP BY 1), n""")
+def wide_variance(spark: SparkSession, d: str) -> DataFrame:
+    """The variances of all components of the matrix laid on its side, which is far wider than long, by products of its rows."""
+    part = base._slice(spark, d).select(F.col("event").alias("member"), F.col("member").cast("string").alias("event"), "value")
+    _, loadings, variances = matrix.member_components(staged(part, "slice"), 10**6)
+    return loadings.agg(F.round(sum(F.sum(F.col(f"`{c}`") ** 2) * float(v) for c, v in zip(loadings.columns[1:], variances)), 3).alias("variance"))
 
 
 @query()

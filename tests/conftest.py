@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
@@ -10,14 +9,14 @@ os.environ["PYTHONPATH"] = sys.path[0] + os.pathsep + os.environ.get("PYTHONPATH
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[4]")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "3g")
-        .config("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="plenum-tests-"))
+        .config("spark.checkpoint.dir", "file://" + str(tmp_path_factory.mktemp("scratch")))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
