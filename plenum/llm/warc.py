@@ -10,14 +10,16 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import uuid
 import zlib
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plenum.llm.common import staged, text_of
+from plenum.llm.common import WRITING, scratch_dir, settings, staged, text_of
 
 #: Payload bytes after which a new archive is begun; one record is never cut.
 ARCHIVE_BYTES = 8 << 20
@@ -152,13 +154,15 @@ def _write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _normalise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every archive by record, and its index, as rows of two kinds."""
+    task, seq = TaskContext.get().partitionId(), 0
     for batch in batches:
         for x in batch.column(0):
-            found = list(normalise([x.as_py()]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([b"".join(m for _, m in found)], pa.binary()), pa.array([[a for a, _ in found]], pa.list_(pa.int64())), pa.array([[len(m) for _, m in found]], pa.list_(pa.int64()))],
-                ["archive", "offsets", "lengths"],
-            )
+            found, name = list(normalise([x.as_py()])), (task << 32) | seq
+            seq += 1
+            columns = ["archive", "index"], [name] * 2, [b"".join(m for _, m in found), None], [None, [a for a, _ in found]], [None, [len(m) for _, m in found]]
+            kinds = (pa.string(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["kind", "id", "archive", "offsets", "lengths"])
 
 
 def _number(name: str) -> int | None:
@@ -198,9 +202,14 @@ def archives(pages: DataFrame, least: int = 0, id_col: str = "page_id", url_col:
     return joined.select("page", "url", "html", "sha", F.when(later, "revisit").otherwise("response").alias("kind"), F.when(later, F.col("first")).alias("refers")).mapInArrow(_write, "archive binary")
 
 
-def normalised(stored: DataFrame) -> DataFrame:
-    """Archives by record with their sidecar index: ``archive, offsets, lengths``."""
-    return stored.mapInArrow(_normalise, "archive binary, offsets array<long>, lengths array<long>")
+def normalised(stored: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Archives by record (``id, archive``) and, in files beside them, their index (``id, offsets, lengths``)."""
+    spark = stored.sparkSession
+    path, columns = f"{scratch_dir(spark)}/plenum/warc-records-{uuid.uuid4().hex}", "id long, archive binary, offsets array<long>, lengths array<long>"
+    with settings(spark, WRITING):
+        stored.mapInArrow(_normalise, f"kind string, {columns}").write.partitionBy("kind").parquet(path)
+    both = spark.read.schema(f"{columns}, kind string").parquet(path)
+    return both.where("kind = 'archive'").select("id", "archive"), both.where("kind = 'index'").select("id", "offsets", "lengths")
 
 
 def round_trip(pages: DataFrame, least: int = 0, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -212,8 +221,9 @@ def round_trip(pages: DataFrame, least: int = 0, id_col: str = "page_id", url_co
     their own; columns beyond those named are not read.
     """
     stored = staged(archives(pages, least, id_col, url_col, html_col), "warc")
-    by_record = staged(normalised(stored), "warc-records")
-    return by_record.mapInArrow(_read, SCHEMA).withColumnRenamed("page_id", id_col)
+    by_record, index = normalised(stored)
+    listed = by_record.join(index, "id").select("archive", "offsets", "lengths")
+    return listed.mapInArrow(_read, SCHEMA).withColumnRenamed("page_id", id_col)
 
 
 #: Five hexadecimal digits of the SHA-1 are four digits of base 32.
