@@ -71,3 +71,34 @@ def test_cuts_fall_between_groups_of_a_cell(frame, monkeypatch):
     assert got.groupby("shard")["size"].sum().max() <= got["size"].sum() / 10 + got.groupby("text")["size"].sum().max()
     for _, part in got.groupby("shard"):
         assert sorted(part.slot) == list(range(len(part)))
+
+
+def test_whole_table_has_the_least_capacity_over_groups(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = sharding.shard_documents(docs).toPandas()
+    h = ["xxhash64(text) AS h", "xxhash64(1, text) AS h2", "shiftrightunsigned(xxhash64(text), 47) AS cell"]
+    rows = docs.selectExpr("octet_length(text) + 16 AS size", *h).groupBy("cell", "h", "h2").sum("size").toPandas().sort_values(["cell", "h", "h2"])
+    sizes = rows["sum(size)"].tolist()
+
+    def fits(capacity):
+        used, shards = 0, 1
+        for x in sizes:
+            if x > capacity:
+                return False
+            if used + x > capacity:
+                used, shards = 0, shards + 1
+            used += x
+        return shards <= 40
+
+    low, high = 0, sum(sizes)
+    while low < high:
+        mid = (low + high) // 2
+        low, high = (low, mid) if fits(mid) else (mid + 1, high)
+    assert got.groupby("shard")["size"].sum().max() == low
+
+
+def test_very_long_text(frame):
+    rows = [(0, "é" * 1_500_000), *[(i, f"text {i}") for i in range(1, 40)]]
+    got = sharding.shard_documents(frame(rows), shards=5).toPandas()
+    long = got[got.doc_id == 0].iloc[0]
+    assert long["size"] == 3_000_016 and long.text_crc32 == zlib.crc32(rows[0][1].encode()) and (got.shard == long.shard).sum() < 40
