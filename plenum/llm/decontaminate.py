@@ -2,13 +2,15 @@
 
 Every run of ``gram`` words is hashed, and of each run of ``window - gram + 1`` consecutive
 hashes the minimum is kept. Two texts that share ``window`` words in a row therefore share a
-fingerprint, so the join of training and test fingerprints misses no shared window. Documents
-with a shared fingerprint are then extended to whole windows, which are compared by 128 hash
-bits. An item of fewer words is one window of its own length, its fingerprint its own hash.
+fingerprint, so the join of training and test fingerprints misses no shared window. Each hit is
+then extended to the windows that hold it, which are compared by 128 hash bits. An item of fewer
+words is one window of its own length, its fingerprint its own hash.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -67,21 +69,40 @@ def _keys(words: Column, n: Column, length: int) -> Column:
     )
 
 
+def _hashed(rows: DataFrame, short: list[int], window: int, gram: int) -> DataFrame:
+    """``g``: hashes of runs of ``gram`` words; ``m``: their minima over a window; ``s<n>``: hashes of runs of each short length."""
+    # each word's text is hashed once; then hashes of two runs make that of the run they form
+    out = rows.select("rid", "n_words", F.transform("w", lambda w: F.xxhash64(w)).alias("l"))
+    joined = lambda a, b: F.xxhash64(a, b)
+    out = _runs(_runs(out, "l", gram, joined, "g"), "g", window - gram + 1, lambda a, b: F.least(a, b), "m")
+    for n in short:
+        out = _runs(out, "l", n, joined, f"s{n}")
+    return out
+
+
 def _fingerprints(rows: DataFrame, short: list[int], window: int, gram: int, own: bool) -> DataFrame:
     """``rid, fp``: winnowed fingerprints, and of each short length the hash of every run.
 
     ``own``: the rows are items; one that is shorter than a window has the hash of itself alone.
     """
-    # each word's text is hashed once; then hashes of two runs make that of the run they form
-    hashed = rows.select("rid", "n_words", F.transform("w", lambda w: F.xxhash64(w)).alias("l"))
-    joined = lambda a, b: F.xxhash64(a, b)
-    hashed = _runs(_runs(hashed, "l", gram, joined, "g"), "g", window - gram + 1, lambda a, b: F.least(a, b), "m")
     parts = [F.when((F.col("n_words") >= window) | F.lit(not own), F.col("m"))]
-    for n in short:
-        hashed = _runs(hashed, "l", n, joined, f"s{n}")
-        parts.append(F.when((F.col("n_words") == n) | F.lit(not own), F.col(f"s{n}")))
+    parts += [F.when((F.col("n_words") == n) | F.lit(not own), F.col(f"s{n}")) for n in short]
     found = F.array_distinct(F.flatten(F.array_compact(F.array(*parts))))
-    return hashed.select("rid", F.explode(found).alias("fp"))
+    return _hashed(rows, short, window, gram).select("rid", F.explode(found).alias("fp"))
+
+
+def _extended(near: DataFrame, prints: DataFrame, n_prints: int, short: list[int], window: int, gram: int) -> DataFrame:
+    """``rid, spots``: places (length, start) of windows that hold a shared fingerprint.
+
+    A fingerprint of a shared window lies at most ``window - gram`` words after its start, so
+    the windows that a hit can be extended to begin there or up to that many words before.
+    """
+    hashed = _hashed(near, short, window, gram)
+    at = [("g", window, window - gram), *((f"s{n}", n, 0) for n in short)]
+    places = [hashed.select("rid", F.lit(n).alias("length"), F.lit(back).alias("back"), F.posexplode(c).alias("pos", "fp")) for c, n, back in at]
+    hit = _probe(reduce(DataFrame.unionByName, places), prints, ["fp"], n_prints, "left_semi")
+    starts = hit.select("rid", "length", F.explode(F.sequence(F.greatest(F.col("pos") - F.col("back"), F.lit(0)), F.col("pos"))).alias("start"))
+    return starts.groupBy("rid").agg(F.collect_set(F.struct("length", "start")).alias("spots"))  # within one text
 
 
 def _probe(big: DataFrame, small: DataFrame, keys: list[str], small_rows: int, how: str = "inner") -> DataFrame:
@@ -113,14 +134,24 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
     windows = of_item.select("length", "k1", "k2").distinct()
     n_windows = of_item.count()
 
-    prints = _fingerprints(items, short, window, gram, True).select("fp").distinct()
+    prints = staged(_fingerprints(items, short, window, gram, True).select("fp").distinct(), "decon-prints")
     suspects = _probe(_fingerprints(rows, short, window, gram, False), prints, ["fp"], n_windows, "left_semi").select("rid").distinct()
     suspects = staged(suspects, "decon-suspects")
     few = suspects.count() <= BROADCAST_ROWS  # then the words of the others need not be moved
 
-    near = rows.join(F.broadcast(suspects) if few else suspects, "rid", "left_semi").select("rid", "w", "n_words")
-    lengths = [window, *short]
-    spans = near.select("rid", F.explode(F.flatten(F.array(*(_keys(F.col("w"), F.col("n_words"), m) for m in lengths)))).alias("k")).select("rid", "k.*")
+    near = staged(rows.join(F.broadcast(suspects) if few else suspects, "rid", "left_semi").select("rid", "w", "n_words"), "decon-near")
+    spots = _extended(near, prints, n_windows, short, window, gram)
+    found = F.filter("spots", lambda x: x["start"] + x["length"] <= F.col("n_words"))
+    keys = F.transform(
+        found,
+        lambda x: F.struct(
+            x["start"].alias("start"),
+            x["length"].alias("length"),
+            F.xxhash64(x["length"], F.slice("w", x["start"] + 1, x["length"])).alias("k1"),
+            F.xxhash64(x["length"] + 1000, F.slice("w", x["start"] + 1, x["length"])).alias("k2"),
+        ),
+    )
+    spans = near.join(spots, "rid").select("rid", F.explode(keys).alias("k")).select("rid", "k.*")
     hits = staged(_probe(spans, windows, ["length", "k1", "k2"], n_windows), "decon-hits")
 
     span = F.array_sort(F.collect_list(F.struct("start", (F.col("start") + F.col("length")).alias("stop"))))
