@@ -30,7 +30,7 @@ from plenum.llm.common import numbered, staged, text_of
 CAPACITY = 4096
 END_ID = 1
 #: Bytes of text whose blocks are looked up together, and bytes up to which a block is compared with others.
-RUN = 8 << 20
+RUN = 5 << 20
 WIDE = 32
 #: Marks that, after a letter or digit of an ASCII block, the vocabulary never joins to it.
 MARKS = ".,;:!?*&#$%"
